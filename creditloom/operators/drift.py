@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.binning import equal_width_bin
 from ..functions.clean import finite
+from .labels import in_month, moment
 from .metrics import calibration, decile_table, ranking
 from .prefix import long_values
 
@@ -103,8 +104,7 @@ def feature_psi(reference: DataFrame, current: DataFrame, continuous=("fico", "d
 
 
 def with_period(df: DataFrame, split_date: str, date: str = "signing_date") -> DataFrame:
-    at = F.lit(split_date).cast("timestamp")
-    return df.withColumn("period", F.when(c(date) < at, REF).otherwise(CUR))
+    return df.withColumn("period", F.when(c(date) < moment(df, split_date, date), REF).otherwise(CUR))
 
 
 def auc_decay(df: DataFrame, scores: Sequence[str], profile: K.AlertProfile = K.ALERT_PROFILES["drift"],
@@ -233,7 +233,6 @@ def score_table_drift(scored: DataFrame, split_date: str, month: str | None = No
     both = with_period(scored, split_date)
     ref, cur = both.where(c("period") == REF), both.where(c("period") == CUR)
     if month:
-        from .labels import in_month
         cur = in_month(cur, month)
         both = ref.unionByName(cur)
     cal = calibration(cur, "pd").select(

@@ -39,21 +39,27 @@ def censor(df: DataFrame, mode: str = "normal_as_good", seasoning_days: int = 90
     return df
 
 
+def moment(df: DataFrame, text: str, col: str = "signing_date") -> Column:
+    """Literal of the column's own type: a cast on the column would block pushdown."""
+    return F.lit(text).cast(df.schema[col].dataType)
+
+
 def temporal_split(df: DataFrame, split_date: str = K.SPLIT_DATE) -> tuple[DataFrame, DataFrame]:
-    at = F.lit(split_date).cast("timestamp")
+    at = moment(df, split_date)
     return df.where(F.col("signing_date") < at), df.where(F.col("signing_date") >= at)
 
 
 def in_month(df: DataFrame, month: str) -> DataFrame:
     """Rows signed in YYYY-MM, as a half-open range so that parquet can prune."""
-    start = F.lit(f"{month}-01").cast("timestamp")
-    end = F.add_months(F.lit(f"{month}-01").cast("date"), 1).cast("timestamp")
+    year, mon = map(int, month.split("-"))
+    start = moment(df, f"{month}-01")
+    end = moment(df, f"{year + mon // 12}-{mon % 12 + 1:02d}-01")
     return df.where((F.col("signing_date") >= start) & (F.col("signing_date") < end))
 
 
 def originated(df: DataFrame, product_col: str, products: Sequence[str], since: str) -> DataFrame:
     """Product, type and date predicates of the extract."""
-    return df.where(F.col(product_col).isin(*products) & (F.col("signing_date") >= F.lit(since).cast("timestamp")))
+    return df.where(F.col(product_col).isin(*products) & (F.col("signing_date") >= moment(df, since)))
 
 
 def with_duration(df: DataFrame, as_of: str) -> DataFrame:

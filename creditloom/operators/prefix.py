@@ -24,15 +24,26 @@ MAX_SLICES = 64
 SKETCH_ACCURACY = 2000
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """The ordering column as a double that keeps its order."""
+    kind, col = df.schema[name].dataType.typeName(), F.col(name)
+    if kind == "date":
+        return F.unix_date(col).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return (F.unix_date(F.to_date(col)) * 86400.0 + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)).cast("double")
+    return col.cast("double")
+
+
 def _slices(df: DataFrame, order: str, n: int, by: Sequence[str]) -> tuple[DataFrame, Column]:
     probs = [i / n for i in range(1, n)]
-    sketch = F.percentile_approx(F.col(order).cast("double"), probs, SKETCH_ACCURACY).alias("_bounds")
+    value = _number(df, order)
+    sketch = F.percentile_approx(value, probs, SKETCH_ACCURACY).alias("_bounds")
     if by:
         # one row per named series (a fixed list of scores or features, not data keys)
         df = df.join(F.broadcast(df.groupBy(*by).agg(sketch)), list(by))
     else:
         df = df.withColumn("_bounds", df.agg(sketch).scalar())
-    return df, slice_index(F.col(order).cast("double"), F.col("_bounds"), n - 1)
+    return df, slice_index(value, F.col("_bounds"), n - 1)
 
 
 def slice_count(df: DataFrame) -> int:

@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 from ..functions.clean import display, grade_letter
 from ..operators import summary
 from ..operators.enrich import compare_production
+from ..operators.labels import moment
 from ..operators.metrics import calibration, decile_lift, ranking
 
 SCORES = ("fraud_score", "pd", "woe_pd", "rule_pd", "xgb_pd", "pricing_tier")
 
 
+def write_scored(scored: DataFrame, path: str, partition_by: str | None = None) -> str:
+    """Materialise a scored frame and return its path.
+
+    A score is a deep expression. Filtering on it lazily would copy that expression
+    into the pushed predicate many times over, so the reports read a written table."""
+    w = scored.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    return path
+
+
 def scored_table(scored: DataFrame) -> DataFrame:
     """Scores with context, production reference and comparison flags."""
     df = scored.withColumns({"decision": display(F.col("decision")),
@@ -38,7 +49,7 @@ def production_comparison(scored: DataFrame) -> DataFrame:
 def portfolio_report(scored: DataFrame, split_date: str) -> DataFrame:
     """The run report as long metrics. ``scored`` should be a written table: several
     aggregates read it."""
-    at = F.lit(split_date).cast("timestamp")
+    at = moment(scored, split_date)
     test = scored.where(F.col("signing_date") >= at)
     data = scored.agg(F.count("*").alias("total_loans"), F.count_if(F.col("signing_date") < at).alias("train_loans"),
                       F.count_if(F.col("signing_date") >= at).alias("test_loans"), F.sum("is_bad").alias("total_bads"),

@@ -28,15 +28,18 @@ def bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bureau columns per loan, aggregated from its lines."""
     li = table(spark, sf_dir, "lineitem")
     n = lambda cond: _d(F.count_if(cond))
+    # money is summed in whole cents: sums of doubles depend on the order of rows
+    cents = lambda k: F.round(c(k) * 100).cast("bigint")
+    halved = lambda total, by: _d(F.floor((total + by // 2) / by)) / 100
     returned, final = c("l_returnflag") == "R", c("l_linestatus") == "F"
     return li.groupBy(c("l_orderkey").alias("loan_id")).agg(
         _d(F.count("*")).alias("n_lines"), n(returned).alias("d30"), n(returned & final).alias("d60"),
-        _d(F.count_if(c("l_quantity") >= 40) * 2).alias("inq6"), F.round(F.avg("l_discount") * 1000, 2).alias("revutil"),
+        _d(F.count_if(c("l_quantity") >= 40) * 2).alias("inq6"), (_d(F.expr("(sum(cast(round(l_discount * 100) as bigint)) * 2000 + count(*)) div (2 * count(*))")) / 100).alias("revutil"),
         F.sum(F.when(returned & (c("l_tax") >= 0.06), c("l_quantity") * 25).otherwise(0.0)).alias("pastdue"),
-        F.round(F.sum("l_extendedprice") / 10, 2).alias("instbal"),
-        F.round(F.coalesce(F.sum(F.when(c("l_linestatus") == "O", c("l_extendedprice"))), F.lit(0.0)) / 10, 2).alias("revbal"),
+        halved(F.sum(cents("l_extendedprice")), 10).alias("instbal"),
+        halved(F.sum(F.when(c("l_linestatus") == "O", cents("l_extendedprice")).otherwise(0)), 10).alias("revbal"),
         _d(F.count("*") * 3).alias("tl_total"), _d(F.count_if(final) * 3).alias("tl_paid"), n(returned).alias("tl_delin"),
-        F.round(F.sum(c("l_extendedprice") * c("l_tax")) / 10, 2).alias("mopmt"),
+        halved(F.sum(cents("l_extendedprice") * cents("l_tax")), 1000).alias("mopmt"),
         _d(F.sum("l_partkey") % 6000).alias("crhist"))
 
 
