@@ -195,17 +195,17 @@ cte("rulec", ("sfeat",), """
 
 cte("sc", ("rulec", "pts"), """
  select *, cast(trunc(least(greatest(300+(1-pd)*550,300),850)) as integer) as default_score
- from (select *, round(case when upper(partner)='PARTNER_B' then least(greatest(pd0*1.25e0,0.001),0.95) else least(greatest(pd0,0.001),0.95) end,6) as pd
- from (select *, round(least(greatest(case when x<=0 then 0e0 when x<=0.03 then 0e0+(x-0e0)*((0.02e0-0e0)/(0.03e0-0e0)) when x<=0.06 then 0.02e0+(x-0.03e0)*((0.05e0-0.02e0)/(0.06e0-0.03e0))
+ from (select * exclude (w, u, v, x, p0), round(w,6) as woe_pd, round(u,6) as rule_pd, round(v,6) as xgb_pd, round(p0,6) as pd0, round(case when upper(partner)='PARTNER_B' then least(greatest(p0*1.25e0,0.001),0.95) else least(greatest(p0,0.001),0.95) end,6) as pd
+ from (select *, least(greatest(case when x<=0 then 0e0 when x<=0.03 then 0e0+(x-0e0)*((0.02e0-0e0)/(0.03e0-0e0)) when x<=0.06 then 0.02e0+(x-0.03e0)*((0.05e0-0.02e0)/(0.06e0-0.03e0))
    when x<=0.1 then 0.05e0+(x-0.06e0)*((0.12e0-0.05e0)/(0.1e0-0.06e0)) when x<=0.2 then 0.12e0+(x-0.1e0)*((0.22e0-0.12e0)/(0.2e0-0.1e0))
-   when x<=0.4 then 0.22e0+(x-0.2e0)*((0.45e0-0.22e0)/(0.4e0-0.2e0)) when x<=0.8 then 0.45e0+(x-0.4e0)*((0.9e0-0.45e0)/(0.8e0-0.4e0)) else 0.9e0 end,0.001),0.999),6) as pd0
- from (select *, woe_pd*0.25e0+rule_pd*0.25e0+xgb_pd*0.5e0 as x
+   when x<=0.4 then 0.22e0+(x-0.2e0)*((0.45e0-0.22e0)/(0.4e0-0.2e0)) when x<=0.8 then 0.45e0+(x-0.4e0)*((0.9e0-0.45e0)/(0.8e0-0.4e0)) else 0.9e0 end,0.001),0.999) as p0
+ from (select *, w*0.25e0+u*0.25e0+v*0.5e0 as x
  from (select r.*, p.fraud_score, p.fraud_decision, p.fraud_normalized, p.c1, p.c3, p.c4, p.c5, p.c6, p.c7,
   p.qm, p.ff, p.pp, p.np, p.plm, p.prm, p.cs, p.contra, p.fdr, p.fpd, p.fd60, p.finq, p.ftl, p.plaid_balance, p.plaid_recentNSFs, p.negative_balance_days_90d, p.giact_bankruptcy_count, p.lu_bad, p.lu_conn, p.lu_cross,
   p.a1,p.a2,p.b1,p.b2,p.b3,p.b4,p.b5,p.d1,p.d2,p.d3,p.d4,p.e1,p.e2,p.e3,p.e4,p.e5,p.g1,p.g2,p.g3,
-  round(1/(1+exp(-(-2.6e0+0.9e0*qi_missing+0.5e0*missing_qi_low_fico+0.25e0*has_severe_delin+0.4e0*delin_rate))),6) as woe_pd,
-  round(1/(1+exp(-(-5.0e0+0.55e0*rule_score))),6) as rule_pd,
-  round(1/(1+exp(-(2.2e0-0.007e0*coalesce(fico,650)+0.15e0*high_inq+0.1e0*cash_stress))),6) as xgb_pd
+  1/(1+exp(-(-2.6e0+0.9e0*qi_missing+0.5e0*missing_qi_low_fico+0.25e0*has_severe_delin+0.4e0*delin_rate))) as w,
+  1/(1+exp(-(-5.0e0+0.55e0*rule_score))) as u,
+  1/(1+exp(-(2.2e0-0.007e0*coalesce(fico,650)+0.15e0*high_inq+0.1e0*cash_stress))) as v
   from rulec r join (select * exclude (fico, qi, partner, loan_id, shop_id, ident_key, signing_date, principal, acct_balance, age, revision_id, loan_state, n_lines, d30, d60, inq6, revutil, pastdue, instbal, revbal, tl_total, tl_paid, tl_delin, mopmt, crhist, is_bad) from pts) p using (application_id)) t) t) t) t""")
 
 cte("graded", ("sc",), """
@@ -233,8 +233,8 @@ cte("six", ("ent",), """
 
 cte("pay", (), """
  select l_orderkey as loan_id, l_partkey%360 as day_no, l_linenumber as o1, l_suppkey as o2, l_partkey as o3, l_extendedprice as o4,
-  round(l_extendedprice/100,2) as amount, case when l_returnflag='R' then 1 else 0 end as r, case when l_linenumber>=6 then 'RECOVERY' else 'CUSTOMER' end as ptype,
-  row_number() over (partition by l_orderkey order by l_partkey%360, l_linenumber, l_suppkey, l_partkey, l_extendedprice, round(l_extendedprice/100,2), case when l_returnflag='R' then 1 else 0 end) as pno
+  cast((cast(round(l_extendedprice*100) as bigint)+50)//100 as double)/100 as amount, case when l_returnflag='R' then 1 else 0 end as r, case when l_linenumber>=6 then 'RECOVERY' else 'CUSTOMER' end as ptype,
+  row_number() over (partition by l_orderkey order by l_partkey%360, l_linenumber, l_suppkey, l_partkey, l_extendedprice, case when l_returnflag='R' then 1 else 0 end) as pno
  from lineitem""")
 
 cte("payf", ("pay",), """

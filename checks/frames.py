@@ -69,7 +69,7 @@ def scorecard_inputs(spark: SparkSession, sf: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf: str, reasons: bool = False) -> DataFrame:
     """Scope scored with the points engine and the given PD parameters, graded and decided."""
-    df = fx.production_grade(with_lookup(fx.identity(scorecard_inputs(spark, sf))))
+    df = fx.production_grade(with_lookup(fx.identity(feature_table(spark, sf))))
     df = grade(predict_fixed(points_engine(df, with_reasons=reasons)), SEVEN)
     return decisions.grade_e(decisions.cascade(df))
 
@@ -77,17 +77,32 @@ def scored(spark: SparkSession, sf: str, reasons: bool = False) -> DataFrame:
 _TABLES: dict = {}
 
 
-def scored_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The scored portfolio, written once per session and data folder and read by every report."""
-    key = (spark.sparkContext.applicationId, sf)
+def _written(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A stage written once per session and data folder and read from then on."""
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _TABLES:
-        _TABLES[key] = write_scored(scored(spark, sf), scratch_path(spark, "scored"))
+        _TABLES[key] = write_scored(build(spark, sf), scratch_path(spark, name))
     return spark.read.parquet(_TABLES[key])
 
 
+def feature_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Scorecard features with history: the input of every PD model."""
+    return _written(spark, sf, "features", scorecard_inputs)
+
+
+def scored_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The scored portfolio, read by every report."""
+    return _written(spark, sf, "scored", scored)
+
+
+def payment_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Payment features with flags and labels."""
+    return _written(spark, sf, "payments", payment_frame)
+
+
 def pd_scored(spark: SparkSession, sf: str) -> DataFrame:
-    """The same without points: history-free columns only where possible."""
-    return predict_fixed(scorecard_inputs(spark, sf))
+    """PDs only, from the feature table."""
+    return predict_fixed(feature_table(spark, sf))
 
 
 def payment_frame(spark: SparkSession, sf: str) -> DataFrame:

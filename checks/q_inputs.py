@@ -114,7 +114,7 @@ def model_state(spark, sf):
     writers._put(spark, path, asdict(LogitModel(*fx.WOE_STATE)))
     state = spark.read.parquet(path).first()["state"]
     m = LogitModel(**json.loads(state))
-    return fr.scorecard_inputs(spark, sf).select("application_id", F.round(m.column(), 6).alias("woe_pd"))
+    return fr.feature_table(spark, sf).select("application_id", F.round(m.column(), 6).alias("woe_pd"))
 
 
 # --- normalisation ----------------------------------------------------------

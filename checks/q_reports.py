@@ -128,7 +128,7 @@ def grade_stats(spark, sf):
     f"select '{f}' as flag, count(case when {f}=1 then 1 end) as n_flagged, round(avg({f}),6) as flagged_pct, round(coalesce(avg(case when {f}=1 then is_bad end),0),6) as flagged_rate, round(coalesce(avg(case when {f}=0 then is_bad end),0),6) as unflagged_rate, round(avg(is_bad),6) as base_rate, round(coalesce(avg(case when {f}=1 then is_bad end),0)/avg(is_bad),6) as lift from payr"
     for f in K.PAYMENT_FLAGS), "payr"))
 def payment_flag_stats(spark, sf):
-    return fr.rounded(summary.flag_stats(fr.payment_frame(spark, sf), tuple(K.PAYMENT_FLAGS)))
+    return fr.rounded(summary.flag_stats(fr.payment_table(spark, sf), tuple(K.PAYMENT_FLAGS)))
 
 
 @query("payment_tier_stats", sql("select risk_tier as tier, count(*) as n, cast(sum(is_bad) as bigint) as n_bad, round(avg(is_bad),6) as bad_rate, round(avg(default_probability),6) as avg_pd, round(count(*)/(select count(*) from paypd),6) as pct from paypd group by risk_tier", "paypd"))
@@ -138,13 +138,13 @@ def payment_tier_stats(spark, sf):
 
 def _payment_pd(spark, sf):
     from creditloom.operators.payments import fit_payment_pd, payment_pd
-    df = fr.payment_frame(spark, sf)
+    df = fr.payment_table(spark, sf)
     return payment_pd(df, fit_payment_pd(df))
 
 
 @query("flag_histogram", sql("select flag_count as score, count(*) as n from payr group by flag_count", "payr"))
 def flag_histogram(spark, sf):
-    return summary.score_histogram(fr.payment_frame(spark, sf), "flag_count")
+    return summary.score_histogram(fr.payment_table(spark, sf), "flag_count")
 
 
 @query("payment_trends", sql("select date_trunc('month',signing_date)::timestamp as month, count(*) as n_loans, round(avg(flag_count),6) as avg_flags, round(avg(default_probability),6) as avg_pd, round(avg(case when risk_tier='red' then 1e0 else 0 end),6) as pct_red, round(avg(case when risk_tier in ('orange','red') then 1e0 else 0 end),6) as pct_orange_plus from paypd group by 1", "paypd"))

@@ -97,9 +97,9 @@ def blended_pd(spark, sf):
     return fr.pd_scored(spark, sf).select("application_id", "woe_pd", "rule_pd", "xgb_pd", "pd_before_segment", "pd", "default_score")
 
 
-@query("quantile_bins", sql("""select application_id, cast((fico>e[2])::int+(fico>e[3])::int+(fico>e[4])::int as integer) as fico_bin from scope, (select quantile_cont(fico,[0,0.25,0.5,0.75,1]) as e from scope) q""", "scope"))
+@query("quantile_bins", sql("""select application_id, cast((fico>e[2])::int+(fico>e[3])::int+(fico>e[4])::int as double) as fico_bin from scope, (select quantile_cont(fico,[0,0.25,0.5,0.75,1]) as e from scope) q""", "scope"))
 def quantile_bins(spark, sf):
-    return with_quantile_bin(fr.scope(spark, sf), "fico", 4, "fico_bin").select("application_id", "fico_bin")
+    return with_quantile_bin(fr.scope(spark, sf), "fico", 4, "fico_bin").select("application_id", c("fico_bin").cast("double").alias("fico_bin"))
 
 
 _QC = ("fico", "revutil", "mopmt", "tl_total")
@@ -131,7 +131,7 @@ tb as (select *, ln(pg/pb) as woe, (pg-pb)*ln(pg/pb) as iv from (select *, great
 
 def _train(spark, sf):
     from creditloom.operators.labels import temporal_split
-    return temporal_split(fr.scorecard_inputs(spark, sf), SPLIT)[0]
+    return temporal_split(fr.feature_table(spark, sf), SPLIT)[0]
 
 
 @query("woe_table", _woe_sql(f"select name, kind, bin, n_good, n_bad, {r6('woe', 'iv')} from tb"))
@@ -159,7 +159,7 @@ def woe_transform(spark, sf):
 @query("grade_schemes", sql(" union all ".join(
     f"select '{n}' as scheme, unnest({[q / 100 for q in K.GRADE_SCHEMES[n][2]]}) as q, round(unnest(quantile_cont(pd,{[q / 100 for q in K.GRADE_SCHEMES[n][2]]})),6) as boundary from sc" for n in ("5grade", "6grade")), "sc"))
 def grade_schemes(spark, sf):
-    df = fr.pd_scored(spark, sf)
+    df = fr.scored_table(spark, sf)
     rows = []
     for n in ("5grade", "6grade"):
         s = grading.fit_scheme(df, scheme=n)
@@ -175,7 +175,7 @@ def grade_assignment(spark, sf):
 @query("boundary_iv", sql("""select round(sum((g-b)*ln(g/b)),6) as iv from (select greatest(cast(sum(1-is_bad) as double),0.5)/(select sum(1-is_bad) from sc) as g, greatest(cast(sum(is_bad) as double),0.5)/(select sum(is_bad) from sc) as b
  from sc group by case when pd>=0.2 then 3 when pd>=0.12 then 2 when pd>=0.06 then 1 else 0 end) t""", "sc"))
 def boundary_iv(spark, sf):
-    return fr.rounded(grading.boundary_iv(fr.pd_scored(spark, sf), (0.06, 0.12, 0.20)))
+    return fr.rounded(grading.boundary_iv(fr.scored_table(spark, sf), (0.06, 0.12, 0.20)))
 
 
 @query("optimal_iv_grades")

@@ -84,13 +84,13 @@ def pd_to_score(pd: Column) -> Column:
 def fixed_blend(df: DataFrame, woe: LogitModel, boosted: LogitModel, rule: LogitModel, steps: tuple, multiplier: float,
                 roles: K.PartnerRoles = K.DEFAULT_ROLES, digits: int = 6) -> DataFrame:
     """Blended scorecard with given parameters: three PDs, calibration steps, multiplier, score."""
-    df = rule_composite(df)
-    df = df.withColumns({"woe_pd": F.round(woe.column(), digits), "rule_pd": F.round(rule.column(), digits),
-                         "xgb_pd": F.round(boosted.column(), digits)})
-    calibrated = clip_pd(lerp(blend(), *steps))
-    df = df.withColumn("pd_before_segment", F.round(calibrated, digits))
+    parts = {"woe_pd": woe.column(), "rule_pd": rule.column(), "xgb_pd": boosted.column()}
+    df = rule_composite(df).withColumns(parts)
+    df = df.withColumn("_pd", clip_pd(lerp(blend(), *steps)))
     risky = upper_text(c("partner")) == roles.risky
-    df = df.withColumn("pd", F.round(segment_adjust(c("pd_before_segment"), multiplier, risky), digits))
+    df = df.withColumns({
+        "pd_before_segment": F.round("_pd", digits), "pd": F.round(segment_adjust(c("_pd"), multiplier, risky), digits),
+        **{k: F.round(k, digits) for k in parts}}).drop("_pd")
     return df.withColumn("default_score", pd_to_score(c("pd")))
 
 

@@ -94,7 +94,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         c("l_orderkey").alias("loan_id"), (c("l_partkey") % 360).alias("day_no"), c("l_linenumber").alias("o1"),
         c("l_suppkey").alias("o2"), c("l_partkey").alias("o3"), c("l_extendedprice").alias("o4"),
-        F.round(c("l_extendedprice") / 100, 2).alias("amount"), (c("l_returnflag") == "R").cast("int").alias("is_returned"),
+        (_d(F.floor((F.round(c("l_extendedprice") * 100).cast("bigint") + 50) / 100)) / 100).alias("amount"), (c("l_returnflag") == "R").cast("int").alias("is_returned"),
         F.when(c("l_linenumber") >= 6, "RECOVERY").otherwise("CUSTOMER").alias("payment_type"))
 
 
