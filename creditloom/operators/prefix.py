@@ -88,13 +88,13 @@ def ranked(df: DataFrame, key: str, tie: str, name: str = "rank", n_slices: int
     rows is still spread over all slices."""
     n = n_slices or slice_count(df)
     sliced, index = _slices(df, tie, n, ())
-    sliced = sliced.withColumn("_slice", index).drop("_bounds")
-    totals = sliced.groupBy(key, "_slice").agg(F.count("*").alias("_n"))
-    offsets = running_sums(totals, [key, "_slice"], ["_n"], merge=False).select(
-        key, "_slice", F.col("_n_before").alias("_offset"))
-    local = sliced.withColumn("_rn", F.row_number().over(W.partitionBy(key, "_slice").orderBy(tie)))
-    return (local.join(offsets, [key, "_slice"])
-            .withColumn(name, F.col("_rn") + F.col("_offset")).drop("_slice", "_rn", "_offset"))
+    sliced = sliced.withColumn("_part", index).drop("_bounds")
+    totals = sliced.groupBy(key, "_part").agg(F.count("*").alias("_n"))
+    offsets = running_sums(totals, [key, "_part"], ["_n"], merge=False).select(
+        key, "_part", F.col("_n_before").alias("_offset"))
+    local = sliced.withColumn("_rn", F.row_number().over(W.partitionBy(key, "_part").orderBy(tie)))
+    return (local.join(offsets, [key, "_part"])
+            .withColumn(name, F.col("_rn") + F.col("_offset")).drop("_part", "_rn", "_offset"))
 
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:

@@ -120,7 +120,7 @@ def _cutoffs(queue: DataFrame, scored: DataFrame, cuts: Column) -> DataFrame:
     bad_ranks = queue.where("is_bad = 1").select("review_priority")
     ns = points.agg(F.sort_array(F.collect_set("top_n"))).scalar()  # a dozen numbers
     first = bad_ranks.withColumn("_ns", ns).select(
-        F.element_at(F.filter("_ns", lambda n: n >= c("review_priority")), 1).alias("top_n"))
+        F.get(F.filter("_ns", lambda n: n >= c("review_priority")), F.lit(0)).alias("top_n"))
     hits = first.where(c("top_n").isNotNull()).groupBy("top_n").agg(F.count("*").alias("hits"))
     grid = points.join(F.broadcast(hits), "top_n", "left").fillna(0, ["hits"])
     run = W.orderBy("top_n")  # a dozen rows

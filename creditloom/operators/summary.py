@@ -123,7 +123,7 @@ def grade_migration(df: DataFrame, production: str = "production_grade_letter",
                     grades: Sequence[str] = ("A", "B", "C", "D", "E", "F", "G")) -> DataFrame:
     """Production x our grade counts, zero-filled."""
     return (df.where(c(production).isin(*grades)).groupBy(c(production).alias("production"))
-            .pivot(ours, list(grades)).agg(F.count("*")).fillna(0)
+            .pivot(ours, list(grades)).agg(F.count(F.lit(1))).fillna(0)
             .withColumnsRenamed({g: f"ours_{g.lower()}" for g in grades}))
 
 
