@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.operators import decisions, entity
-from creditloom.operators.enrich import attach_entity
 from creditloom.operators.features import bureau_features, prior_history, qi_partner_features, scorecard_features
 from creditloom.operators.grading import GradeScheme, grade
 from creditloom.operators.labels import in_scope, with_label
 from creditloom.operators.models import LogitModel, fixed_blend
 from creditloom.operators.payments import payment_features, payment_risk
 from creditloom.operators.rules import points_engine
-from creditloom.constants import GRADE_SCHEMES
+from creditloom.constants import ENTITY_COLUMNS, GRADE_SCHEMES
 from creditloom.plans.portfolio import write_scored
 from creditloom.session import scratch_path
 from creditloom.sources import fixtures as fx
@@ -41,7 +40,9 @@ def history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def with_history(spark: SparkSession, sf: str) -> DataFrame:
-    return attach_entity(scope(spark, sf), history(spark, sf))
+    """Scope with its history columns; one owner per loan, so the history step keeps the wide rows."""
+    df = entity.prior_history(scope(spark, sf))
+    return df.withColumns({k: c(k).cast("int") for k in ENTITY_COLUMNS})
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:

@@ -109,7 +109,7 @@ def enrich_join(spark, sf):
 
 @query("attach_history", sql("select application_id, has_prior_bad, is_repeat, is_cross_entity, cast(prior_loans_ssn as integer) as prior_loans_ssn, cast(prior_bad_ssn as integer) as prior_bad_ssn from hist", "hist"))
 def attach_history(spark, sf):
-    return fr.with_history(spark, sf).select("application_id", "has_prior_bad", "is_repeat", "is_cross_entity", "prior_loans_ssn", "prior_bad_ssn")
+    return enrich.attach_entity(fr.scope(spark, sf), fr.history(spark, sf)).select("application_id", "has_prior_bad", "is_repeat", "is_cross_entity", "prior_loans_ssn", "prior_bad_ssn")
 
 
 _BANK = f"""

@@ -35,7 +35,8 @@ def prior_history(linked: DataFrame, key: str = "ident_key", date: str = "signin
     zero = F.lit(0).cast("bigint")
     steps = loans.withColumn("shops", zero).unionByName(
         firsts.select(key, date, *[zero.alias(k) for k in ("loans", "bads", "paids")], "shops"))
-    cum = running_sums(steps, [date], ["loans", "bads", "paids", "shops"], keys=[key])
+    cum = running_sums(steps, [date], ["loans", "bads", "paids", "shops"], keys=[key],
+                       slice_width=30.0 if linked.schema[date].dataType.typeName() == "date" else 30 * 86400.0)
     prior = cum.select(key, date, *[F.col(f"{a}_before").alias(b) for a, b in (
         ("loans", "prior_loans_ssn"), ("bads", "prior_bad_ssn"),
         ("paids", "prior_paid_ssn"), ("shops", "prior_shops_ssn"))])

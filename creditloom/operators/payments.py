@@ -43,7 +43,8 @@ def payment_features(payments: DataFrame, order: tuple = ("day_no", "payment_no"
     steps = payments.select(key, *order, "amount", cust.alias("c"), ret.alias("r"), (1 - ret).alias("ok"))
     steps = steps.groupBy(key, *order, "amount", "r").agg(
         F.sum("c").alias("c"), F.sum("ok").alias("ok"), F.count("*").alias("n"))
-    cum = running_sums(steps, [*order, "amount", "r"], ["c", "ok", "n"], keys=[key], merge=False)
+    cum = running_sums(steps, [*order, "amount", "r"], ["c", "ok", "n"], keys=[key], merge=False,
+                       slice_width=30.0 if order[0] == days_key else None)
     streak = (cum.where("r = 1").groupBy(key, "ok_before").agg(F.sum("n").alias("len"))
               .groupBy(key).agg(F.max("len").cast("double").alias("max_consecutive_nsf")))
 

@@ -51,30 +51,37 @@ def slice_count(df: DataFrame) -> int:
 
 
 def running_sums(df: DataFrame, order: Sequence[str], values: Sequence[str], keys: Sequence[str] = (),
-                 series: Sequence[str] = (), n_slices: int | None = None, merge: bool = True) -> DataFrame:
+                 series: Sequence[str] = (), n_slices: int | None = None, merge: bool = True,
+                 slice_width: float | None = None) -> DataFrame:
     """Sums of ``values`` and, as ``<v>_before``, their totals over strictly earlier
     ``order`` within ``keys`` + ``series``.
 
     ``keys`` may be unbounded data keys; ``series`` names a short fixed list (score
     or feature names) that gets its own slice bounds. The result has one row per
     distinct (keys, series, order). ``order[0]`` must be numeric or a timestamp.
+
+    ``slice_width`` cuts the axis at multiples of a fixed width (seconds for timestamps,
+    days for dates) instead of sketching quantiles: right for calendar axes, where the
+    number of slices is bounded anyway, and it saves reading the input for the sketch.
     """
     group = [*series, *keys]
     if merge:
         df = df.groupBy(*group, *order).agg(*[F.sum(v).alias(v) for v in values])
-    n = n_slices or slice_count(df)
-    sliced, index = _slices(df, order[0], n, series)
-    sliced = sliced.withColumn("_slice", index).drop("_bounds")
+    if slice_width:
+        sliced = df.withColumn("_slice", F.floor(_number(df, order[0]) / slice_width).cast("int"))
+    else:
+        sliced, index = _slices(df, order[0], n_slices or slice_count(df), series)
+        sliced = sliced.withColumn("_slice", index).drop("_bounds")
 
     inside = W.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = sliced.withColumns({f"{v}_before": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
 
     totals = sliced.groupBy(*group, "_slice").agg(*[F.sum(v).alias(f"_{v}_total") for v in values])
-    # at most n rows per group
+    # one row per slice and group
     earlier = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(*group, "_slice", *[
         F.coalesce(F.sum(f"_{v}_total").over(earlier), F.lit(0)).alias(f"_{v}_offset") for v in values])
-    if not keys:
+    if not keys and not slice_width:
         offsets = F.broadcast(offsets)  # n rows per series
     joined = local.join(offsets, [*group, "_slice"])
     return joined.select(*group, *order, *values,
