@@ -45,18 +45,20 @@ def payment_features(payments: DataFrame, order: tuple = ("day_no", "payment_no"
         F.sum("c").alias("c"), F.sum("ok").alias("ok"), F.count("*").alias("n"))
     cum = running_sums(steps, [*order, "amount", "r"], ["c", "ok", "n"], keys=[key], merge=False,
                        slice_width=30.0 if order[0] == days_key else None)
-    streak = (cum.where("r = 1").groupBy(key, "ok_before").agg(F.sum("n").alias("len"))
-              .groupBy(key).agg(F.max("len").cast("double").alias("max_consecutive_nsf")))
-
+    # one pass: islands of returned payments (equal running count of good ones) and the
     # amounts of the first and last three customer payments, from 6 payments on
-    paid = cum.where("c > 0").join(base.where("cust_payments >= 6").select(key, "cust_payments"), key)
+    cum = cum.join(base.select(key, "cust_payments"), key)
     took = lambda lo, hi: F.greatest(F.lit(0), F.least(F.col("c_before") + F.col("c"), hi) - F.greatest(F.col("c_before"), lo))
     first, last = took(F.lit(0), F.lit(3)), took(F.col("cust_payments") - 3, F.col("cust_payments"))
-    trend = paid.groupBy(key).agg((F.sum(first * F.col("amount")) / 3).alias("f3"),
-                                  (F.sum(last * F.col("amount")) / 3).alias("l3"))
-    trend = trend.select(key, F.try_divide(F.col("l3") - F.col("f3"), F.col("f3")).alias("payment_decline_pct"))
-
-    out = base.join(cluster, key, "left").join(streak, key, "left").join(trend, key, "left")
+    islands = cum.groupBy(key, "cust_payments", "ok_before").agg(
+        F.sum(F.when(F.col("r") == 1, F.col("n")).otherwise(0)).alias("len"),
+        F.sum(first * F.col("amount")).alias("f"), F.sum(last * F.col("amount")).alias("l"))
+    runs = islands.groupBy(key, "cust_payments").agg(
+        F.max("len").cast("double").alias("max_consecutive_nsf"), (F.sum("f") / 3).alias("f3"), (F.sum("l") / 3).alias("l3"))
+    runs = runs.select(key, "max_consecutive_nsf", F.when(
+        F.col("cust_payments") >= 6, F.try_divide(F.col("l3") - F.col("f3"), F.col("f3"))).alias("payment_decline_pct"))
+
+    out = base.join(cluster, key, "left").join(runs, key, "left")
     return out.fillna(0.0, ["nsf_cluster_max", "max_consecutive_nsf"])
 
 
