@@ -147,22 +147,26 @@ def streaming_breakers(spark, sf):
     """The scored table replayed as a stream into 30-day event-time windows."""
     df = fr.scored_table(spark, sf)
     root = scratch_path(spark, "breakers")
-    df.select(c("signing_date").cast("timestamp").alias("scored_at"), "decision", "pd").write.parquet(root + "/in")
+    d = c("signing_date")
+    utc = F.timestamp_seconds(F.unix_date(F.to_date(d)) * 86400 + F.hour(d) * 3600 + F.minute(d) * 60 + F.second(d))  # whatever the session zone
+    df.select(utc.alias("scored_at"), "decision", "pd").write.parquet(root + "/in")
     stream = spark.readStream.schema(spark.read.parquet(root + "/in").schema).option("maxFilesPerTrigger", 2).parquet(root + "/in")
     out = live.rolling_breakers(stream, width="30 days", late="1 day")
     q = (out.writeStream.outputMode("complete").option("checkpointLocation", root + "/ckpt").trigger(availableNow=True)
          .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(root + "/out")).start())
     q.awaitTermination()
-    return spark.read.parquet(root + "/out").select(c("window_start").cast("timestamp_ntz").alias("window_start"), "metric", "value", "level")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    start = epoch + F.make_dt_interval(secs=F.unix_seconds("window_start"))
+    return spark.read.parquet(root + "/out").select(start.alias("window_start"), "metric", "value", "level")
 
 
 @query("nsf_windows", """select user_id as account, w as window_start, count(*) as nsf_count from (select user_id, date_trunc('day', ts)::timestamp - to_days(cast(k as integer)) as w from events, (select unnest(range(30)) as k) g where event_type='error') t group by 1,2 having count(*)>=2""")
 def nsf_windows(spark, sf):
-    e = fx.transactions(spark, sf).withColumn("date", c("date").cast("timestamp"))
+    e = fx.transactions(spark, sf)
     return live.nsf_windows(e).select("account", c("window_start").cast("timestamp_ntz").alias("window_start"), "nsf_count")
 
 
 @query("activity_sessions", """select user_id as account, min(ts) as session_start, count(*) as n_events, round(sum(value),4) as amount from (select *, sum(new) over (partition by user_id order by ts, event_id) as s from (select *, case when ts > lag(ts) over (partition by user_id order by ts, event_id) + interval 12 hour then 1 else 0 end as new from events) t) t group by user_id, s""")
 def activity_sessions(spark, sf):
-    e = fx.transactions(spark, sf).withColumn("date", c("date").cast("timestamp"))
+    e = fx.transactions(spark, sf)
     return fr.rounded(live.activity_sessions(e, gap="12 hours").select("account", c("session_start").cast("timestamp_ntz").alias("session_start"), "n_events", "amount"), 4)
