@@ -1,6 +1,6 @@
 """Every registered query of this subpackage."""
 
-from creditloom.llm import lines, minhash, quality  # noqa: F401
+from creditloom.llm import lines, minhash, packing, quality  # noqa: F401
 from creditloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
