@@ -6,7 +6,7 @@ confirmed on the full sets.
 
 Documents with equal sets are merged first, so copies never meet each other. Each band bucket then compares its members with one
 pivot (the smallest id); buckets that still hold several components after that have all pairs across components
-compared, in sub-buckets of bounded size. A pair at similarity 0.75 shares no band with probability 2e-6.
+compared, in sub-buckets of bounded size. A pair at similarity 0.75 shares no band with probability 5e-6.
 
 Edge cases: a null or blank text has no shingles and is linked with nothing; a row without id can be a copy but not a representative, and is never
 kept if its group has an id; repeated rows share one component; an empty table gives an empty result; extra columns are ignored.
@@ -26,15 +26,16 @@ from creditloom.llm.common import query, stash, table, unstash
 from creditloom.llm.components import components
 
 WORDS = 5
-BANDS, ROWS = 48, 5
-#: Estimates from 240 minima err by 0.028 (one sigma) at 0.75; six sigma below the threshold still go on to the exact check.
-LEAST_ESTIMATE = 0.58
+BANDS, ROWS = 32, 4
+#: All minima count for the estimate, which errs by 0.034 (one sigma) at 0.75; pairs six sigma below the threshold still go on to the exact check.
+MINIMA = 160
+LEAST_ESTIMATE = 0.54
 #: Members of a mixed bucket that are compared directly; larger ones are cut by a further band first.
 BLOCK = 256
 
 _RNG = np.random.default_rng(20_240_229)
-_A = (_RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-_B = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+_A = (_RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+_B = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64)
 _WORD_MUL = _RNG.integers(0, 2**63, WORDS, dtype=np.uint64) | np.uint64(1)
 _BAND_MUL = _RNG.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 _BAND_ADD = _RNG.integers(0, 2**63, BANDS, dtype=np.uint64)
@@ -86,7 +87,7 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_keys(mins: np.ndarray) -> np.ndarray:
-    return _mix((mins.reshape(BANDS, ROWS) * _BAND_MUL).sum(axis=1, dtype=np.uint64) + _BAND_ADD).view(np.int64)
+    return _mix((mins[:BANDS * ROWS].reshape(BANDS, ROWS) * _BAND_MUL).sum(axis=1, dtype=np.uint64) + _BAND_ADD).view(np.int64)
 
 
 def profiles(docs: DataFrame) -> DataFrame:
@@ -172,20 +173,23 @@ def _across(members: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stash(profiles(docs), "profiles")
-    ids = rows.where("n_shingles > 0").select("doc_id", "set_key")
-    reps = stash(ids.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "sets")
-    sets = stash(rows.where("n_shingles > 0").join(reps, [rows.set_key == reps.set_key, rows.doc_id == reps.rep]).select("rep", "bands", "sig").dropDuplicates(["rep"]), "representatives")
-
+    profiled = stash(profiles(docs), "profiles")
+    rows = stash(profiled.select("doc_id", "n_shingles", "set_key"), "set-keys")
+    own = F.min_by(F.struct("bands", "sig"), "doc_id")
+    sets = stash(profiled.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), own.alias("own"))
+                 .where("rep is not null").select("set_key", "rep", "own.bands", "own.sig"), "representatives")
+    reps = sets.select("set_key", "rep")
+    unstash(profiled)
     banded = sets.select("rep", F.explode("bands").alias("bucket"))
     buckets = stash(banded.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").select("bucket", "pivot"), "buckets")
-    starred = stash(banded.join(buckets, "bucket").where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "star-pairs")
+    banded = stash(banded.join(buckets, "bucket"), "band-members")
+    starred = stash(banded.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "star-pairs")
     sig = lambda c: sets.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"))
     likely = stash(_estimated(starred.join(sig("b"), "b").join(sig("a"), "a")), "likely-pairs")
 
     # every document with its likeliest pivot first; of the other pairs only those across components matter then
     first = stash(likely.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")), "first-pairs")
-    involved = buckets.join(banded, "bucket").select(F.col("rep").alias("doc_id")).distinct()
+    involved = banded.select(F.col("rep").alias("doc_id")).distinct()
     texts = stash(docs.join(involved, "doc_id", "left_semi"), "texts")
     links = stash(confirmed(first, texts), "links-first")
     comp = stash(components(links), "components-first")
@@ -199,10 +203,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = stash(links.unionByName(confirmed(second, texts)), "links-second")
     comp = stash(components(links), "components-second")
 
-    members = (sets.select("rep", "sig", "bands", F.explode("bands").alias("bucket")).join(buckets.select("bucket"), "bucket", "left_semi")
-               .join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
-    mixed = stash(_mixed(members), "mixed")
-    members = stash(members.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed-members")
+    labels = comp.withColumnRenamed("node", "rep")
+    members = stash(banded.select("rep", "bucket").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "band-components")
+    members = members.join(stash(_mixed(members), "mixed").select("bucket"), "bucket", "left_semi")
+    members = stash(members.join(sets.select("rep", "sig", "bands"), "rep"), "mixed-members")
     third = _across(members).join(likely, ["a", "b"], "left_anti")
     more = stash(confirmed(third, texts), "links-third")
     if not more.isEmpty():
