@@ -1,6 +1,6 @@
 """Every registered query of this subpackage."""
 
-from creditloom.llm import bpe, lines, minhash, packing, pii, quality  # noqa: F401
+from creditloom.llm import bpe, gridjoin, lines, minhash, packing, pii, quality  # noqa: F401
 from creditloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
