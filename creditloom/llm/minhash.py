@@ -30,7 +30,7 @@ BANDS, ROWS = 32, 4
 #: All minima count for the estimate, which errs by 0.034 (one sigma) at 0.75; pairs six sigma below the threshold still go on to the exact check.
 MINIMA = 160
 LEAST_ESTIMATE = 0.54
-#: Members of a mixed bucket that are compared directly; larger ones are cut by a further band first.
+#: The square of this bounds the pairs that one mixed bucket gives; larger buckets are cut by a further band first.
 BLOCK = 256
 
 _RNG = np.random.default_rng(20_240_229)
@@ -149,25 +149,31 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """Buckets that hold more than one component: (bucket, members)."""
-    return members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("bucket", "members")
+    """Buckets that hold more than one component: (bucket, largest, pairs); pairs bounds what its smaller components have to be compared with."""
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    return (sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("members"), F.max("n").alias("most"), F.count("*").alias("parts"))
+            .where("parts > 1").select("bucket", "largest", (F.col("members") * (F.col("members") - F.col("most"))).alias("pairs")))
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of different components within mixed buckets; a bucket over BLOCK members is cut by every further band in turn, and so on."""
+def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components within mixed buckets: what is outside a bucket's largest component meets all its other members.
+
+    Where that would be more than BLOCK ** 2 pairs, the bucket is first cut by every further band in turn, and so on.
+    """
     found, depth = None, 0
     while True:
         mixed = stash(_mixed(members), "mixed-buckets")
-        small, large = mixed.where(F.col("members") <= BLOCK), mixed.where(F.col("members") > BLOCK)
-        x = members.join(small.select("bucket"), "bucket").select("bucket", "rep", "component", "sig")
-        y = x.select("bucket", F.col("rep").alias("b"), F.col("component").alias("other"), F.col("sig").alias("sig_b"))
-        pairs = _estimated(x.join(y, "bucket").where("rep < b and component <> other").select(F.col("rep").alias("a"), "b", F.col("sig").alias("sig_a"), "sig_b")).select("a", "b").distinct()
+        x = members.join(mixed.where(F.col("pairs") <= BLOCK * BLOCK).select("bucket", "largest"), "bucket").select("bucket", "largest", "rep", "component")
+        y = x.select("bucket", F.col("rep").alias("other"), F.col("component").alias("theirs"))
+        pairs = (x.where("component <> largest").join(y, "bucket").where("component <> theirs")
+                 .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct())
         found = pairs if found is None else found.unionByName(pairs)
-        if depth + 1 >= BANDS or large.isEmpty():
-            return found.distinct()
+        large = mixed.where(F.col("pairs") > BLOCK * BLOCK).select("bucket")
         depth += 1
-        members = stash(members.join(large.select("bucket"), "bucket").select("rep", "component", "sig", "bands", "bucket", F.explode("bands").alias("more"))
-                        .select("rep", "component", "sig", "bands", F.xxhash64("bucket", "more").alias("bucket")), "sub-buckets")
+        if depth >= BANDS or large.isEmpty():
+            return found.distinct()
+        members = stash(members.join(large, "bucket").join(sets.select("rep", "bands"), "rep").select("rep", "component", "bucket", F.explode("bands").alias("more"))
+                        .select("rep", "component", F.xxhash64("bucket", "more").alias("bucket")), "sub-buckets")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -205,9 +211,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     labels = comp.withColumnRenamed("node", "rep")
     members = stash(banded.select("rep", "bucket").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "band-components")
-    members = members.join(stash(_mixed(members), "mixed").select("bucket"), "bucket", "left_semi")
-    members = stash(members.join(sets.select("rep", "sig", "bands"), "rep"), "mixed-members")
-    third = _across(members).join(likely, ["a", "b"], "left_anti")
+    third = stash(_across(members, sets).join(likely, ["a", "b"], "left_anti"), "pairs-across")
+    third = _estimated(third.join(sig("b"), "b").join(sig("a"), "a")).select("a", "b")
     more = stash(confirmed(third, texts), "links-third")
     if not more.isEmpty():
         comp = stash(components(links.unionByName(more)), "components")
