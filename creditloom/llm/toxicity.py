@@ -5,8 +5,8 @@ backs off to continuation counts gathered over both classes. Rare and unseen wor
 Where the top order is unseen, the shared backoff cancels out of the ratio and only the two backoff weights remain, so scoring needs
 two tables: log ratios of seen n-grams, and log ratios of backoff weights of seen contexts.
 
-Log-likelihoods are compared per letter, over the whole document and over its best windows of a few words; a logistic curve, fitted on labelled
-documents that the models have not seen, turns these ratios into a probability.
+Log-likelihoods are compared per letter over the whole document, and per word for its most telling words; a monotone curve (small boosted
+trees), fitted on labelled documents that the models have not seen, turns these ratios into a probability.
 
 Counts come from every labelled training row, in Spark. The tables that scoring broadcasts hold at most MAX_ENTRIES n-grams: if more are
 seen, the count below which a top-order n-gram is left to backoff is doubled until they fit.
@@ -26,17 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from creditloom.llm import trees
 from creditloom.llm.common import query, stash, table
 
 ORDER = 6
 DISCOUNT = 0.75  # of the shared lower orders; the class orders estimate theirs
 MAX_ENTRIES = 2_000_000
-#: Labelled documents that fit the logistic curve at most; the counts have no such bound.
+#: Labelled documents that fit the curve at most, about; the counts have no such bound.
 MAX_CALIBRATION = 20_000
-#: Measures: the whole text, its best windows of so many words, its best so many words wherever they stand, and its length.
-WINDOWS = (8, 64)
-BEST = (1, 2, 3, 5, 8)
-MEASURES = 2 + len(WINDOWS) + len(BEST)
+#: Ratio (nats) above which a word counts as telling.
+TELLING = 2.5
+BEST = (1, 2, 3, 5)
+#: Direction in which the probability may move with each measure: mean ratio a letter, the k-th best words, telling excess in all and a word, length.
+MEASURES = (1, *[1] * len(BEST), 1, 1, 0)
 THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 START, END = "\x02", "\x03"
@@ -159,29 +161,28 @@ def fit_ratio(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Ratio:
 
 
 class Measure:
-    """Length-normalised log ratios of a text: of the whole, and of its best windows. Words are remembered until the memory is full."""
+    """Log likelihood ratios of a text, normalised by letters or words. Words are remembered until the memory is full."""
 
     def __init__(self, ratio: Ratio, cached: int = 500_000):
         self.ratio, self.known, self.cached = ratio, {}, cached
 
     def __call__(self, text: str | None) -> list[float]:
-        words = WORD.findall((text or "").lower())
+        words = Counter(WORD.findall((text or "").lower()))
+        if not words:
+            return [0.0] * len(MEASURES)
         if len(self.known) > self.cached:
             self.known.clear()
         known = self.known
-        for w in set(words).difference(known):
-            known[w] = self.ratio.word(w)
+        for w in words:
+            if w not in known:
+                known[w] = self.ratio.word(w)
         n = len(words)
-        if not n:
-            return [0.0] * MEASURES
         r = np.fromiter(map(known.__getitem__, words), float, n)
-        size = np.fromiter(map(len, words), float, n) + 1
-        sums, sizes = np.concatenate([[0.0], np.cumsum(r)]), np.concatenate([[0.0], np.cumsum(size)])
-        best = [float(((sums[k:] - sums[:-k]) / (sizes[k:] - sizes[:-k])).max()) for k in (min(k, n) for k in WINDOWS)]
-        order = np.argsort(r)[::-1][:max(BEST)]
-        top, letters = np.cumsum(r[order]), np.cumsum(size[order])
-        found = [float(top[min(k, n) - 1] / letters[min(k, n) - 1]) for k in BEST]
-        return [float(sums[-1] / sizes[-1]), *best, *found, float(np.log1p(n))]
+        times = np.fromiter(words.values(), float, n)
+        letters = np.fromiter(map(len, words), float, n) + 1
+        best = np.sort(r)[::-1]
+        excess = float(np.maximum(r - TELLING, 0).sum())
+        return [float((r * times).sum() / (letters * times).sum()), *[float(best[min(k, n) - 1]) for k in BEST], excess, excess / n, float(np.log1p(times.sum()))]
 
 
 def measured(docs: DataFrame, model, into: str, kind: str, finish) -> DataFrame:
@@ -193,40 +194,25 @@ def measured(docs: DataFrame, model, into: str, kind: str, finish) -> DataFrame:
         for batch in batches:
             names = batch.schema.names
             x = [measure(t) for t in batch.column(names.index("text")).to_pylist()]
-            made = finish(np.array(x).reshape(-1, MEASURES))
+            made = finish(np.array(x).reshape(-1, len(MEASURES)))
             yield pa.RecordBatch.from_arrays([*[batch.column(names.index(c)) for c in keep], pa.array(list(made))], names=[*keep, into])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.mapInArrow(run, f"{schema}, `{into}` {kind}")
 
 
-def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-2, steps: int = 100) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Mean, scale and weights (intercept last) of a ridge logistic curve, by Newton steps."""
-    mean, scale = x.mean(0), x.std(0) + 1e-9
-    z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
-    w = np.zeros(z.shape[1])
-    ridge = np.diag([l2 * len(x)] * (z.shape[1] - 1) + [1e-9]) / 10
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge + 1e-9 * np.eye(len(w)), z.T @ (y - p) - ridge @ w)
-        w += step
-        if np.abs(step).max() < 1e-8:
-            break
-    return mean, scale, w
-
-
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row of docs (doc_id, text); rows that are held out are never learnt from.
 
-    Four fifths of the training rows count for the models, the rest fits the curve.
+    Three quarters of the training rows count for the models, the rest fits the curve.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    train = docs.join(known.where(f"not ({HELD_OUT})"), "doc_id").withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(5)))
+    train = docs.join(known.where(f"not ({HELD_OUT})"), "doc_id").withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)))
     train = stash(train, "labelled-texts")
     held = F.coalesce(F.expr(HELD_OUT), F.lit(False))
-    classes = train.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()  # at most ten rows
+    classes = train.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()  # at most eight rows
     size = lambda fit, toxic: sum(r["n"] for r in classes if (r["fold"] == 0) == fit and r["toxic"] == toxic)
     if not all(size(fit, toxic) for fit in (False, True) for toxic in (0, 1)):
         n = sum(r["n"] for r in classes)
@@ -236,12 +222,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     share = min(1.0, MAX_CALIBRATION / (size(True, 0) + size(True, 1)))
     chosen = train.where("fold = 0").where(F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("doc_id", "text", "toxic")
     rows = measured(chosen, model, "x", "array<double>", lambda x: x.tolist()).select("doc_id", "toxic", "x").toPandas().sort_values("doc_id")
-    mean, scale, w = logistic(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float))
-
-    def probability(x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(np.hstack([(x - mean) / scale, np.ones((len(x), 1))]) @ w, -700, 700)))
+    curve = trees.fit(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float), list(MEASURES), trees=40, depth=3)
 
-    scored = measured(docs, model, "score", "double", probability)
+    scored = measured(docs, model, "score", "double", curve.probability)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
