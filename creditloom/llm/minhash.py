@@ -5,8 +5,8 @@ words, the whole sequence). Two documents are linked if the shared shingles are
 confirmed on the full sets.
 
 Documents with equal sets are merged first, so copies never meet each other. Each band bucket then compares its members with one
-pivot (the smallest id); buckets that still hold several components after that have all pairs across components
-compared, in sub-buckets of bounded size. A pair at similarity 0.75 shares no band with probability 5e-6.
+pivot (the smallest id); in buckets that still hold several components after that, what is outside the largest component is compared
+with all other members, by signatures in blocks of bounded size, and the likely pairs exactly. A pair at similarity 0.75 shares no band with probability 5e-6.
 
 Edge cases: a null or blank text has no shingles and is linked with nothing; a row without id can be a copy but not a representative, and is never
 kept if its group has an id; repeated rows share one component; an empty table gives an empty result; extra columns are ignored.
@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,12 @@ from creditloom.llm.components import components
 
 WORDS = 5
 BANDS, ROWS = 32, 4
-#: All minima count for the estimate, which errs by 0.034 (one sigma) at 0.75; pairs six sigma below the threshold still go on to the exact check.
-MINIMA = 160
-LEAST_ESTIMATE = 0.54
-#: The square of this bounds the pairs that one mixed bucket gives; larger buckets are cut by a further band first.
-BLOCK = 256
+#: All minima count for the estimate, which errs by 0.027 (one sigma) at 0.75; pairs 4.5 sigma below the threshold still go on to the exact check.
+MINIMA = 256
+LEAST_ESTIMATE = 0.63
+#: Mixed buckets with at most so many pairs are joined directly, larger ones in blocks of BLOCK by BLOCK members whose signatures are compared inside
+#: tasks; beyond HUGE pairs a bucket is first cut by every further band.
+DIRECT, BLOCK, HUGE = 256, 256, 1 << 30
 
 _RNG = np.random.default_rng(20_240_229)
 _A = (_RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -121,8 +123,7 @@ def _estimated(pairs: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
-            equal = (a == b).mean(axis=1)
-            est = (equal - 1 / 256) / (1 - 1 / 256)  # one in 256 bytes agrees by chance
+            est = _agreement(a, b)
             mask = pa.array(est >= LEAST_ESTIMATE)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(est)], names=["a", "b", "est"]).filter(mask)
 
@@ -148,27 +149,56 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(named("b"), "b").join(named("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated similarity from the share of equal signature bytes (one in 256 agrees by chance)."""
+    return ((a == b).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
+
+
 def _mixed(members: DataFrame) -> DataFrame:
-    """Buckets that hold more than one component: (bucket, largest, pairs); pairs bounds what its smaller components have to be compared with."""
+    """Buckets that hold more than one component: (bucket, largest, members, others, pairs); others are the members outside the largest."""
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    return (sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("members"), F.max("n").alias("most"), F.count("*").alias("parts"))
-            .where("parts > 1").select("bucket", "largest", (F.col("members") * (F.col("members") - F.col("most"))).alias("pairs")))
+    found = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("members"), F.max("n").alias("most"), F.count("*").alias("parts"))
+    others = F.col("members") - F.col("most")
+    return found.where("parts > 1").select("bucket", "largest", "members", others.alias("others"), (F.col("members") * others).alias("pairs"))
+
+
+def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Likely pairs (a, b) across components of large mixed buckets: blocks of the others meet blocks of all members, signatures only."""
+    def compare(key, pdf):
+        x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        sig = np.frombuffer(b"".join(y["sig"]), np.uint8).reshape(len(y), -1) if len(y) else np.zeros((0, MINIMA), np.uint8)
+        reps, parts, out = y["rep"].to_numpy(), y["component"].to_numpy(), []
+        for rep, component, own in zip(x["rep"], x["component"], x["sig"]):
+            hit = (parts != component) & (_agreement(np.frombuffer(own, np.uint8)[None, :], sig) >= LEAST_ESTIMATE)
+            out.append(np.stack([np.minimum(reps[hit], rep), np.maximum(reps[hit], rep)], axis=1))
+        both = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+
+    parts = mixed.select("bucket", "largest", F.ceil(F.col("others") / BLOCK).alias("nx"), F.ceil(F.col("members") / BLOCK).alias("ny"))
+    rows = members.join(parts, "bucket")
+    at = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "rep"), F.col(n)).cast("long")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    x = rows.where("component <> largest").select("bucket", "rep", "component", F.lit(0).alias("side"), at("nx", 1).alias("xb"), upto("ny").alias("yb"))
+    y = rows.select("bucket", "rep", "component", F.lit(1).alias("side"), upto("nx").alias("xb"), at("ny", 2).alias("yb"))
+    signed = x.unionByName(y).join(sets.select("rep", "sig"), "rep")
+    return signed.groupBy("bucket", "xb", "yb").applyInPandas(compare, "a long, b long").distinct()
 
 
 def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components within mixed buckets: what is outside a bucket's largest component meets all its other members.
-
-    Where that would be more than BLOCK ** 2 pairs, the bucket is first cut by every further band in turn, and so on.
-    """
+    """Likely pairs of different components within mixed buckets: what is outside a bucket's largest component meets all its other members."""
+    sig = lambda c: sets.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"))
     found, depth = None, 0
     while True:
         mixed = stash(_mixed(members), "mixed-buckets")
-        x = members.join(mixed.where(F.col("pairs") <= BLOCK * BLOCK).select("bucket", "largest"), "bucket").select("bucket", "largest", "rep", "component")
+        x = members.join(mixed.where(F.col("pairs") <= DIRECT).select("bucket", "largest"), "bucket").select("bucket", "largest", "rep", "component")
         y = x.select("bucket", F.col("rep").alias("other"), F.col("component").alias("theirs"))
         pairs = (x.where("component <> largest").join(y, "bucket").where("component <> theirs")
                  .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct())
-        found = pairs if found is None else found.unionByName(pairs)
-        large = mixed.where(F.col("pairs") > BLOCK * BLOCK).select("bucket")
+        direct = _estimated(pairs.join(sig("b"), "b").join(sig("a"), "a")).select("a", "b")
+        blocks = _in_blocks(members, mixed.where(F.col("pairs").between(DIRECT + 1, HUGE)), sets)
+        now = direct.unionByName(blocks)
+        found = now if found is None else found.unionByName(now)
+        large = mixed.where(F.col("pairs") > HUGE).select("bucket")
         depth += 1
         if depth >= BANDS or large.isEmpty():
             return found.distinct()
@@ -212,7 +242,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = comp.withColumnRenamed("node", "rep")
     members = stash(banded.select("rep", "bucket").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "band-components")
     third = stash(_across(members, sets).join(likely, ["a", "b"], "left_anti"), "pairs-across")
-    third = _estimated(third.join(sig("b"), "b").join(sig("a"), "a")).select("a", "b")
     more = stash(confirmed(third, texts), "links-third")
     if not more.isEmpty():
         comp = stash(components(links.unionByName(more)), "components")
