@@ -61,7 +61,8 @@ def remove_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
             .groupBy("_line_doc").agg(F.collect_set(F.struct("_line_hash", "_line_len")).alias("_line_hits")))  # at most a text's own lines
     hits = stash(hits, "line-hits")
     split = F.split("text", "\n", -1)
-    marked = docs.withColumn("_line_doc", _row_key(docs)).join(hits, "_line_doc", "left")
+    # the texts with boilerplate grow with the input, so both sides are shuffled whatever their size
+    marked = docs.withColumn("_line_doc", _row_key(docs)).join(hits.hint("merge"), "_line_doc", "left")
     known = F.coalesce("_line_hits", F.array().cast(hits.schema["_line_hits"].dataType))
 
     def stays(line: Column) -> Column:
