@@ -261,4 +261,4 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id. Rows keep their columns."""
     gone = near_duplicates(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"] == F.col("_gone"), "left_anti")

@@ -173,7 +173,8 @@ def redact(docs: DataFrame) -> DataFrame:
     cut = spans(docs).withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(0))).where("end > reach")
     cut = cut.withColumn("fresh", F.col("start") >= F.col("reach")).withColumn("start", F.greatest("start", "reach"))
     of_text = stash(cut.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "fresh"))).alias("_pii_cut")), "pii-cuts")
-    marked = docs.select("*", *text_key(text)).join(of_text, KEY, "left")
+    # the texts with spans grow with the input, so both sides are shuffled whatever their size
+    marked = docs.select("*", *text_key(text)).join(of_text.hint("merge"), KEY, "left")
     c = F.col("_pii_cut")
 
     def piece(s: Column, i: Column) -> Column:

@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees_n: int
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("_label"))
     share = min(1.0, max_rows / max(known.count(), 1))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about max_rows rows, whatever the input
     data = document_statistics(rows).select("_label", "stats.features").toPandas()
     x = np.array(data["features"].tolist(), float).reshape(-1, len(FEATURES))
     y = (data["_label"].to_numpy(float) > 0).astype(float)
