@@ -26,7 +26,7 @@ def sql(body: str, *needs: str, plus: str = "") -> str:
 
 BAD = "('CHARGE_OFF','DEFAULT','WORKOUT','PRE_DEFAULT','TECHNICAL_DEFAULT')"
 GOOD = "('PAID_CLOSED','PAID','OVER_PAID')"
-AS_OF, SPLIT, BANK_AS_OF = "2001-08-02", "2000-01-01", "2024-01-31"
+AS_OF, SPLIT, BANK_AS_OF = "2001-08-02", "2000-01-01", "2024-01-16"
 
 cte("bureau", (), """
  select l_orderkey as loan_id, cast(count(*) as double) as n_lines,

@@ -117,11 +117,11 @@ with acc as (select distinct user_id as revision_id, user_id as account from eve
 bal as (select revision_id, avg(case when d>=date '{BANK_AS_OF}'-30 then cur end) as avg_balance_30d, avg(case when d between date '{BANK_AS_OF}'-90 and date '{BANK_AS_OF}'-60 then cur end) as avg_balance_60_90d,
   min(case when d>=date '{BANK_AS_OF}'-30 then cur end) as min_balance_30d, max(case when d>=date '{BANK_AS_OF}'-30 then cur end) as max_balance_30d,
   cast(sum(case when cur<0 and d>=date '{BANK_AS_OF}'-90 then 1 else 0 end) as bigint) as negative_balance_days_90d
-  from acc join (select user_id as account, cast(ts as date) as d, value-60 as cur from events) b using (account) group by revision_id),
+  from acc join (select user_id as account, cast(ts as date) as d, value-60 as cur from events) b using (account) where d<=date '{BANK_AS_OF}' group by revision_id),
 txn as (select revision_id, count(*) as txn_count_total, count(case when dir='CREDIT' and d>=date '{BANK_AS_OF}'-90 then 1 end) as credit_txn_count_90d,
   sum(case when dir='CREDIT' and d>=date '{BANK_AS_OF}'-90 then value else 0 end) as credit_sum_90d, count(case when dir='DEBIT' and d>=date '{BANK_AS_OF}'-90 then 1 end) as debit_txn_count_90d,
   sum(case when dir='DEBIT' and d>=date '{BANK_AS_OF}'-90 then value else 0 end) as debit_sum_90d, count(case when et='error' and d>=date '{BANK_AS_OF}'-90 then 1 end) as nsf_count_90d
-  from acc join (select user_id as account, cast(ts as date) as d, value, event_type as et, case when event_type in ('purchase','view') then 'DEBIT' else 'CREDIT' end as dir from events) t using (account) group by revision_id),
+  from acc join (select user_id as account, cast(ts as date) as d, value, event_type as et, case when event_type in ('purchase','view') then 'DEBIT' else 'CREDIT' end as dir from events) t using (account) where d<=date '{BANK_AS_OF}' group by revision_id),
 bank as (select * from bal left join txn using (revision_id))"""
 _BANK_COLS = ("avg_balance_30d", "avg_balance_60_90d", "min_balance_30d", "max_balance_30d", "credit_sum_90d", "debit_sum_90d")
 _BANK_INTS = ("negative_balance_days_90d", "txn_count_total", "credit_txn_count_90d", "debit_txn_count_90d", "nsf_count_90d")

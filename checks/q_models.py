@@ -111,7 +111,7 @@ def cox_profiles(spark, sf):
        plus=f"v as (select fraud_score as s, is_bad as e, date_diff('day',cast(signing_date as date),date '{AS_OF}') as t from pts)"))
 def concordance(spark, sf):
     df = labels.with_duration(fr.scored_table(spark, sf), AS_OF)
-    return spark.createDataFrame([(round(survival.concordance(df, "fraud_score"), 6),)], "c_index double")
+    return fr.rounded(survival.concordance(df, "fraud_score"))
 
 
 # --- streaming ------------------------------------------------------------------------

@@ -123,7 +123,7 @@ def _woe_sql(tail: str) -> str:
     return sql(tail, "sfeat", plus=f"""lv as ({longs}),
 sp as (select name, case when name='fico' then 'expert' when count(distinct value)<=10 then 'category' else 'quantile' end as kind,
   case when name='fico' then {edges} else list_sort(list_distinct(quantile_cont(value,[0,1/6,2/6,3/6,4/6,5/6,1]))) end as edges from lv where value is not null group by name),
-bn as (select application_id, is_bad, lv.name, kind, value, case when value is null then 'null' when kind='category' then 'v'||cast(round(value,6) as varchar)
+bn as (select application_id, is_bad, lv.name, kind, value, case when value is null then 'null' when kind='category' then 'v'||cast(value as varchar)
    else 'b'||len(list_filter(edges[2:len(edges)-1], lambda e: e < value)) end as bin from lv join sp on lv.name=sp.name),
 ct as (select name, kind, bin, cast(sum(1-is_bad) as bigint) as n_good, cast(sum(is_bad) as bigint) as n_bad from bn group by name, kind, bin),
 tb as (select *, ln(pg/pb) as woe, (pg-pb)*ln(pg/pb) as iv from (select *, greatest(cast(n_good as double),0.5)/sum(n_good) over (partition by name) as pg, greatest(cast(n_bad as double),0.5)/sum(n_bad) over (partition by name) as pb from ct) t)""")
@@ -178,11 +178,22 @@ def boundary_iv(spark, sf):
     return fr.rounded(grading.boundary_iv(fr.scored_table(spark, sf), (0.06, 0.12, 0.20)))
 
 
-@query("optimal_iv_grades")
+_IV_PART = "(greatest({g},0.5)/tg - greatest({b},0.5)/tb)*ln((greatest({g},0.5)/tg)/(greatest({b},0.5)/tb))"
+_BEST_IV = f"""tot as (select cast(sum(1-is_bad) as double) as tg, cast(sum(is_bad) as double) as tb, min(pd) as lowest from sc),
+cuts as (select v, row_number() over (order by v) as i from (select distinct unnest(quantile_cont(pd,{[i / 100 for i in range(1, 100)]})) as v from sc) q where v > (select lowest from tot)),
+cum as (select i, v, cast(sum(1-is_bad) as double) as g, cast(sum(is_bad) as double) as b from cuts join sc on pd < v group by i, v),
+head as (select i, v, {_IV_PART.format(g='g', b='b')} as p from cum, tot),
+tail as (select i, {_IV_PART.format(g='tg-g', b='tb-b')} as p from cum, tot),
+mid as (select x.i as i, y.i as j, {_IV_PART.format(g='y.g-x.g', b='y.b-x.b')} as p from cum x join cum y on y.i > x.i, tot),
+best as (select h.i as a, m.j as b, n.j as c, o.j as d, h.p+m.p+n.p+o.p+t.p as iv from head h join mid m on m.i=h.i join mid n on n.i=m.j join mid o on o.i=n.j join tail t on t.i=o.j order by round(iv,12) desc, a, b, c, d limit 1),
+bounds as (select iv, (select list(v order by i) from cum where i in (best.a,best.b,best.c,best.d)) as vs from best)"""
+
+
+@query("optimal_iv_grades", sql("select chr(cast(65+len(list_filter(vs, lambda e: e <= pd)) as integer)) as grade, count(*) as n, round(avg(cast(is_bad as double)),6) as bad_rate, round(any_value(iv),6) as iv from sc, bounds group by 1", "sc", plus=_BEST_IV))
 def optimal_iv_grades(spark, sf):
     df = fr.scored_table(spark, sf).select("pd", "is_bad")
     s = grading.fit_scheme(df, scheme="optimal_iv")
-    return grading.grade(df, s, partner=None).groupBy("grade").agg(F.count("*").alias("n"), F.avg(c("is_bad").cast("double")).alias("bad_rate"), F.lit(s.iv).alias("iv"))
+    return fr.rounded(grading.grade(df, s, partner=None).groupBy("grade").agg(F.count("*").alias("n"), F.avg(c("is_bad").cast("double")).alias("bad_rate"), F.lit(s.iv).alias("iv")))
 
 
 @query("boundary_grades", sql("select application_id, case when fico is null then 'worst' when fico>=700 then 'worst' when fico>=600 then 'mid' else 'low' end as label from scope", "scope"))

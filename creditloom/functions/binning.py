@@ -39,11 +39,9 @@ def steps_below(c: Column, edges: Column, n: int) -> Column:
 
 
 def slice_index(c: Column, bounds: Column, n: int) -> Column:
-    """How many of n array bounds are <= c; deterministic, so two passes agree."""
-    total = F.lit(0)
-    for i in range(n):
-        total = total + F.when(c >= F.get(bounds, F.lit(i)), 1).otherwise(0)
-    return total
+    """How many of up to n sorted array bounds are <= c, by binary search; deterministic, so two passes agree."""
+    steps = [1 << k for k in reversed(range(max(n, 1).bit_length()))]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(c >= F.get(bounds, at + step - 1), at + step).otherwise(at))
 
 
 def quantile_bin(c: Column, edges: Column, n_quantiles: int, open_ends: bool = False) -> Column:

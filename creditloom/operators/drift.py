@@ -44,16 +44,17 @@ def psi_continuous(baseline: DataFrame, current: DataFrame, cols: Sequence[str])
     v = long_values(current, cols).where(finite(c("value")))
     now = _bin_counts(v, baseline.select("name", "low", "high"))
     now = now.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("now"), F.sum("n").alias("n_cur"))
-    t = baseline.join(now, "name")  # one row per monitored column on both sides
+    # one row per monitored column on both sides; a column without current values keeps its row, with a NULL psi
+    t = baseline.join(now, "name", "left").withColumn("n_cur", F.coalesce("n_cur", F.lit(0)))
     cells = t.select("name", "total", "n_cur", F.coalesce(F.element_at("now", F.lit(-1)), F.lit(0)).alias("n_out"),
                      F.explode(F.sequence(F.lit(0), F.lit(K.PSI_BINS - 1))).alias("bin"), "counts", "now")
-    share = lambda m, n: F.coalesce(F.element_at(m, c("bin")), F.lit(0)) / c(n) + K.PSI_EPSILON
+    share = lambda m, n: F.try_divide(F.coalesce(F.element_at(m, c("bin")), F.lit(0)), c(n)) + K.PSI_EPSILON
     cells = cells.withColumns({"r": share("counts", "total"), "q": share("now", "n_cur")})
     sums = cells.groupBy("name", "total", "n_cur", "n_out").agg(
         F.sum("r").alias("sr"), F.sum("q").alias("sq"), F.collect_list(F.struct("r", "q")).alias("cells"))
     part = F.aggregate("cells", F.lit(0.0), lambda acc, x: acc + (x["q"] / c("sq") - x["r"] / c("sr"))
                        * F.ln((x["q"] / c("sq")) / (x["r"] / c("sr"))))
-    return sums.select("name", part.alias("psi"), c("total").alias("n_reference"), c("n_cur").alias("n_current"),
+    return sums.select("name", F.when(c("n_cur") > 0, part).alias("psi"), c("total").alias("n_reference"), c("n_cur").alias("n_current"),
                        c("n_out").alias("n_out_of_range"))
 
 
@@ -77,16 +78,17 @@ def psi_categorical(baseline: DataFrame, current: DataFrame, cols: Sequence[str]
     ref = baseline.select("name", "category", c("n").alias("nr"))
     cur = now.select("name", "category", c("n").alias("nc"))
     totals = (ref.groupBy("name").agg(F.sum("nr").alias("tr"))
-              .join(cur.groupBy("name").agg(F.sum("nc").alias("tc")), "name"))
+              .join(cur.groupBy("name").agg(F.sum("nc").alias("tc")), "name", "left").fillna(0, ["tc"]))
     cells = ref.join(cur, ["name", "category"], "full" if domain == "union" else "left").fillna(0, ["nr", "nc"])
-    r, q = c("nr") / c("tr") + K.PSI_EPSILON, c("nc") / c("tc") + K.PSI_EPSILON
+    r, q = c("nr") / c("tr") + K.PSI_EPSILON, F.try_divide("nc", "tc") + K.PSI_EPSILON
     return (cells.join(F.broadcast(totals), "name").groupBy("name", "tr", "tc")
-            .agg(F.sum((q - r) * F.ln(q / r)).alias("psi"))
+            .agg(F.when(F.max("tc") > 0, F.sum((q - r) * F.ln(q / r))).alias("psi"))
             .select("name", "psi", c("tr").alias("n_reference"), c("tc").alias("n_current")))
 
 
 def psi_level(psi: Column) -> Column:
-    return F.when(psi > K.PSI_CRITICAL, "CRITICAL").when(psi > K.PSI_WARNING, "WARNING").otherwise("STABLE")
+    """Alert level; a NULL psi means that a monitored column has no current values, which is critical."""
+    return F.when(psi.isNull() | (psi > K.PSI_CRITICAL), "CRITICAL").when(psi > K.PSI_WARNING, "WARNING").otherwise("STABLE")
 
 
 def score_psi(reference: DataFrame, current: DataFrame, scores=("fraud_score", "pd"), categories=("grade",)) -> DataFrame:

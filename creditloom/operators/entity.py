@@ -90,17 +90,17 @@ def attach_lookup(df: DataFrame, lookup: DataFrame, key: str = "application_id",
     return df.withColumn("_key", F.coalesce(*parts)).join(side, F.col("_key") == F.col("_k"), "left").drop("_key", "_k")
 
 
-def components(members: DataFrame, node: str = "shop_id", identifier: str = "identifier",
-               max_rounds: int = 50) -> DataFrame:
+def components(members: DataFrame, node: str = "shop_id", identifier: str = "identifier") -> DataFrame:
     """(node, component) of nodes sharing any identifier; component is the smallest node.
 
     Alternates two aggregates, node labels to identifiers and back, so an
     identifier shared by a third of all nodes is one hash-aggregate group and no
-    pair is ever formed. Each round is written to the shared checkpoint folder.
+    pair is ever formed. Each round is written to the shared checkpoint folder; rounds
+    go on until no label changes.
     """
     edges = cut_lineage(members.where(F.col(identifier).isNotNull()).select(node, identifier).distinct())
     labels = cut_lineage(members.select(node).distinct().withColumn("component", F.col(node)))
-    for _ in range(max_rounds):
+    while True:
         seen = edges.join(labels, node).groupBy(identifier).agg(F.min("component").alias("m"))
         offered = edges.join(seen, identifier).groupBy(node).agg(F.min("m").alias("m"))
         nxt = labels.join(offered, node, "left").select(
@@ -114,7 +114,6 @@ def components(members: DataFrame, node: str = "shop_id", identifier: str = "ide
         labels = nxt.select(node, "component")
         if not changed:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def component_bad_flag(loans: DataFrame, labels: DataFrame) -> DataFrame:

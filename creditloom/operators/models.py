@@ -141,7 +141,7 @@ def fit_logit_cv(df: DataFrame, features: Sequence[str], label: str = "is_bad",
 
 def fit_rule_pd(df: DataFrame, label: str = "is_bad", score: str = "rule_score") -> LogitModel:
     """Composite -> PD. The composite takes few values, so counts per value are fitted with weights."""
-    counts = df.groupBy(F.round(score, 6).alias(score), c(label).cast("double").alias(label)).agg(F.count("*").cast("double").alias("w"))
+    counts = df.groupBy(c(score).alias(score), c(label).cast("double").alias(label)).agg(F.count("*").cast("double").alias("w"))
     return fit_logit(counts, [score], label, c_value=1.0, weight="w", n=df.count())
 
 
@@ -180,7 +180,7 @@ def monotonicity(scored: DataFrame, features: Sequence[str] = tuple(K.BOOST_SIGN
 
 def fit_isotonic(df: DataFrame, raw: str, label: str = "is_bad"):
     """Isotonic calibration on counts per distinct raw score."""
-    counts = df.where(c(raw).isNotNull()).groupBy(F.round(raw, 6).alias("features")).agg(
+    counts = df.where(c(raw).isNotNull()).groupBy(c(raw).cast("double").alias("features")).agg(
         F.avg(c(label).cast("double")).alias("label"), F.count("*").cast("double").alias("weight"))
     return IsotonicRegression(weightCol="weight", predictionCol="_iso").fit(counts)
 

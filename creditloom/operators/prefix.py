@@ -20,7 +20,6 @@ from pyspark.sql import Window as W
 from ..functions.binning import slice_index
 from ..session import shuffle_width
 
-MAX_SLICES = 64
 SKETCH_ACCURACY = 2000
 
 
@@ -47,7 +46,8 @@ def _slices(df: DataFrame, order: str, n: int, by: Sequence[str]) -> tuple[DataF
 
 
 def slice_count(df: DataFrame) -> int:
-    return max(2, min(MAX_SLICES, shuffle_width(df.sparkSession)))
+    """As many slices as the shuffle has partitions."""
+    return max(2, shuffle_width(df.sparkSession))
 
 
 def running_sums(df: DataFrame, order: Sequence[str], values: Sequence[str], keys: Sequence[str] = (),

@@ -14,10 +14,12 @@ from pyspark.sql import Window as W
 
 from .. import constants as K
 from ..functions.binning import steps_at_or_below
-from .prefix import quantiles
+from ..session import cut_lineage
+from .prefix import quantiles, running_sums
 
 c = F.col
-MAX_TIED = 10_000
+#: Tied events that one numpy block takes.
+TIE_BLOCK = 1_000_000
 
 
 def life_table(df: DataFrame, by: Sequence[str] = (), duration: str = "duration_days", event: str = "event") -> DataFrame:
@@ -92,22 +94,14 @@ def _add(pdf: pd.DataFrame) -> pd.DataFrame:
 _MOMENTS = T.StructType([T.StructField("duration", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType()))])
 
 
-def _tied_sums(s0: float, e0: float, d: float) -> tuple[float, ...]:
-    """Sums over the d tied events of 1/den, phi/den and their squares, den = s0 - phi*e0.
-
-    Very large ties use the Euler-Maclaurin form of the same sums."""
-    n = int(d)
-    if n <= MAX_TIED:
-        phi = np.arange(n) / n
-        wt = np.ones(n)
-    else:
-        phi = np.linspace(0.0, 1.0, MAX_TIED + 1)
-        wt = np.full(MAX_TIED + 1, n / MAX_TIED)
-        wt[0] = n / MAX_TIED / 2 + 0.5
-        wt[-1] = n / MAX_TIED / 2 - 0.5
-    den = s0 - phi * e0
-    return ((wt / den).sum(), (wt * phi / den).sum(), (wt / den ** 2).sum(), (wt * phi / den ** 2).sum(), (wt * phi ** 2 / den ** 2).sum(),
-            (wt * np.log(den)).sum())
+def _tied_sums(s0: float, e0: float, d: float) -> np.ndarray:
+    """Sums over the d tied events of 1/den, phi/den, 1/den^2, phi/den^2, phi^2/den^2 and log(den), den = s0 - phi*e0, block by block."""
+    n, total = int(d), np.zeros(6)
+    for first in range(0, n, TIE_BLOCK):
+        phi = np.arange(first, min(n, first + TIE_BLOCK)) / n
+        den = s0 - phi * e0
+        total += [(1 / den).sum(), (phi / den).sum(), (1 / den ** 2).sum(), (phi / den ** 2).sum(), (phi ** 2 / den ** 2).sum(), np.log(den).sum()]
+    return total
 
 
 def _newton_terms(rows: list, p: int, width: int):
@@ -245,33 +239,29 @@ def fit_hazard_tiers(model: CoxModel, train: DataFrame) -> CoxModel:
     return model
 
 
-def concordance(df: DataFrame, risk: str, duration: str = "duration_days", event: str = "event", bins: int = 256) -> float | None:
-    """Event-aware concordance of a risk score (higher = earlier event), ties half.
-
-    Counts per (duration, risk bin) leave the cluster, at most days x bins cells.
-    With at most ``bins`` distinct risks the bins are the values and the index is exact;
-    otherwise pairs inside one quantile bin count as ties (error below 1/(2*bins))."""
-    values = df.groupBy(c(risk).cast("double").alias("r")).agg(F.count("*").alias("n"))
-    distinct = [x.r for x in values.orderBy("r").limit(bins + 1).collect()]
-    if len(distinct) <= bins:
-        bounds = distinct[1:]
-    else:
-        bounds = df.agg(F.percentile_approx(c(risk).cast("double"), [i / bins for i in range(1, bins)], 10_000)).first()[0]
-    data = df.withColumn("_b", steps_at_or_below(c(risk).cast("double"), bounds))
-    cells = data.groupBy(c(duration).alias("t"), "_b").agg(F.count("*").alias("n"), F.sum(c(event).cast("bigint")).alias("e")).collect()
-    if not cells:
-        return None
-    ts = sorted({r.t for r in cells})
-    at = {t: i for i, t in enumerate(ts)}
-    width = max(r._b for r in cells) + 1
-    n, e = np.zeros((len(ts), width)), np.zeros((len(ts), width))
-    for r in cells:
-        n[at[r.t], r._b], e[at[r.t], r._b] = r.n, r.e
-    later = np.vstack([np.cumsum(n[::-1], axis=0)[::-1][1:], np.zeros((1, width))]) + (n - e)  # censored at t count as later
-    below = np.cumsum(later, axis=1) - later
-    conc, tied, pairs = (e * below).sum(), (e * later).sum(), (e * later.sum(axis=1, keepdims=True)).sum()
-    # two events at the same time are comparable only as a tie in time
-    return float((conc + 0.5 * tied) / pairs) if pairs else None
+def concordance(df: DataFrame, risk: str, duration: str = "duration_days", event: str = "event") -> DataFrame:
+    """Event-aware concordance of a risk score (higher = earlier event), ties half, as one row (c_index); exact, NULL without comparable pairs.
+
+    A later loan has a lower rank than a failed one if, at the highest bit in which the two ranks differ, it has the 0. So
+    pairs are counted bit by bit: per (bit, ranks above the bit), failed loans with a 1 times later ones with a 0. Each such group
+    has at most one row per calendar day, and no pair is formed. Two events at the same time are no pair; loans censored then are later.
+    """
+    rows = df.where(c(risk).isNotNull() & c(duration).isNotNull()).select(c(risk).cast("double").alias("r"), c(duration).alias("t"), c(event).cast("bigint").alias("e"))
+    cells = cut_lineage(rows.groupBy("r", "t").agg(F.count("*").alias("n"), F.sum("e").alias("e")))
+    ranks = cut_lineage(running_sums(cells.select("r").distinct().withColumn("one", F.lit(1)), ["r"], ["one"], merge=False).select("r", c("one_before").cast("bigint").alias("rank")))
+    bits = int(ranks.agg(F.max("rank")).first()[0] or 0).bit_length()
+    ranked = cells.join(ranks, "r").select("rank", "t", "n", "e")
+    levels = F.array(F.struct(F.lit(-1).alias("bit"), c("rank").alias("above"), F.lit(True).alias("failed"), F.lit(True).alias("later")),
+                     F.struct(F.lit(-2).alias("bit"), F.lit(0).cast("bigint").alias("above"), F.lit(True).alias("failed"), F.lit(True).alias("later")),
+                     *[F.struct(F.lit(b).alias("bit"), F.shiftright("rank", b + 1).alias("above"), (F.getbit("rank", F.lit(b)) == 1).alias("failed"),
+                                (F.getbit("rank", F.lit(b)) == 0).alias("later")) for b in range(bits)])  # -1: equal ranks, -2: all pairs
+    flat = ranked.select("t", "n", "e", F.inline(levels))
+    days = flat.groupBy("bit", "above", "t").agg(F.sum(F.when(c("failed"), c("e")).otherwise(0)).alias("failed"), F.sum(F.when(c("later"), c("n")).otherwise(0)).alias("n"),
+                                                F.sum(F.when(c("later"), c("n") - c("e")).otherwise(0)).alias("censored"))
+    after = W.partitionBy("bit", "above").orderBy(F.desc("t")).rowsBetween(W.unboundedPreceding, -1)  # a row a day
+    pairs = days.withColumn("pairs", c("failed").cast("double") * (F.coalesce(F.sum("n").over(after), F.lit(0)) + c("censored")))
+    total = pairs.agg(*[F.sum(F.when(c("bit") == b, c("pairs"))).alias(k) for b, k in ((-1, "tied"), (-2, "all"))], F.sum(F.when(c("bit") >= 0, c("pairs")).otherwise(0.0)).alias("right"))
+    return total.select(F.try_divide(c("right") + 0.5 * c("tied"), c("all")).alias("c_index"))
 
 
 def horizon_checks(scored: DataFrame, duration: str = "duration_days", event: str = "event", min_n: int = 20) -> DataFrame:

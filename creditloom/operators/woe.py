@@ -37,7 +37,7 @@ def _bin(value: Column, kind: Column, edges: Column) -> Column:
     """Bin label: index of a (a, b] bin with open ends, the value itself for categories, NULL -> 'null'."""
     width = max(len(K.FICO_WOE_EDGES) - 1, K.WOE_QUANTILES)
     idx = quantile_bin(value, edges, width, open_ends=True)
-    label = F.when(kind == "category", F.concat(F.lit("v"), F.round(value, 6).cast("string"))).otherwise(
+    label = F.when(kind == "category", F.concat(F.lit("v"), value.cast("string"))).otherwise(
         F.concat(F.lit("b"), idx.cast("string")))
     return F.when(value.isNull() | F.isnan(value), "null").otherwise(label)
 

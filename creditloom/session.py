@@ -28,8 +28,8 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "creditloom"
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a fresh temporary folder is made.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a fresh temporary
+    folder is made in local mode (tests, a laptop) and anything else is refused.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -37,6 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return named or current.get()
     if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-creditloom-")
     sc.setCheckpointDir(named)
     return named

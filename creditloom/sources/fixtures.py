@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import lookup
 
 AS_OF, SPLIT = "2001-08-02", "2000-01-01"
-BANK_AS_OF = "2024-01-31"
+BANK_AS_OF = "2024-01-16"
 QI_OF_PRIORITY = {"1-URGENT": "HFHT", "2-HIGH": "HFLT", "3-MEDIUM": "LFHT", "4-NOT SPECIFIED": "LFLT"}
 PARTNER_OF_SEGMENT = {"AUTOMOBILE": "PARTNER_A", "BUILDING": "PARTNER_B", "FURNITURE": "PARTNER_C", "MACHINERY": "other"}
 c = F.col

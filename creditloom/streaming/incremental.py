@@ -2,8 +2,8 @@
 
 Each micro-batch is written to its own ``batch_id`` folder with overwrite, so a
 batch replayed after a failure replaces its own output. The anti join against
-the scored table reads only the signing months that occur in the batch: an
-application always comes back with the same signing date.
+the scored table reads one narrow column, the ids of every batch: an application
+may come back with another signing date, or with none.
 """
 
 from __future__ import annotations
@@ -43,14 +43,20 @@ def _month(col: str = "signing_date"):
     return F.date_format(col, "yyyy-MM")
 
 
+def latest(batch: DataFrame, key: str = "application_id") -> DataFrame:
+    """One row per application: the one signed last; among those, the first by a hash of all its columns, then by the columns."""
+    whole = F.struct(*[F.col(k).cast("string").alias(k) for k in sorted(batch.columns)])
+    order = F.struct(F.coalesce(F.col("signing_date").cast("timestamp"), F.lit("0001-01-01").cast("timestamp")), F.xxhash64(whole), whole)
+    one = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), order).alias("_row"))
+    return one.select("_row.*")
+
+
 def only_new(batch: DataFrame, scored: DataFrame | None, batch_id: int, key: str = "application_id") -> DataFrame:
     """One row per application of the batch that no earlier batch has scored."""
-    batch = batch.dropDuplicates([key])
+    batch = latest(batch, key)
     if scored is None:
         return batch
-    months = [r[0] for r in batch.select(_month().alias("m")).distinct().collect()]  # calendar months only
-    done = scored.where(F.col("signing_month").isin(*months) & (F.col("batch_id") != batch_id)) if months else scored.limit(0)
-    return batch.join(done.select(key), key, "left_anti")
+    return batch.join(scored.where(F.col("batch_id") != batch_id).select(key), key, "left_anti")
 
 
 def batch_metrics(batch: DataFrame, min_rows: int = MIN_METRIC_ROWS) -> DataFrame:
