@@ -154,6 +154,12 @@ class MergeReplay:
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
+@functools.lru_cache(1)
+def merge_replay(path: str, pattern: str) -> MergeReplay:
+    """The encoder of this Python worker; a worker that runs several tasks keeps what it has learnt."""
+    return MergeReplay(path, pattern)
+
+
 def _lists(values: list[bytes]) -> pa.ListArray:
     ends = np.cumsum([0] + [len(v) // 4 for v in values])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(values), "<i4")))
@@ -178,7 +184,7 @@ def _passing(df: DataFrame, source: str, into: str, kind: T.DataType, worker) ->
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
     """df with the token ids of `text` as an array."""
     def worker():
-        encoder = MergeReplay(path, pattern)
+        encoder = merge_replay(path, pattern)
         return lambda column: _lists(encoder(column.to_pylist()))
 
     return _passing(df, text, into, T.ArrayType(T.IntegerType()), worker)

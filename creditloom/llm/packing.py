@@ -14,6 +14,7 @@ empty table gives no sequence; extra columns are ignored; ties within a length g
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from array import array
@@ -78,13 +79,19 @@ class WordEncoder:
             split = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts[i:i + 256]]
             if len(known) > self.cached:
                 known.clear()
-            missing = set().union(*split).difference(known)
+            missing = {w for words in split for w in words if w not in known}
             if missing:
                 self._learn(missing)
             out += [b"".join(map(known.__getitem__, words)) for words in split]
         return out
 
 
+@functools.lru_cache(1)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker; a worker that runs several tasks keeps what it has learnt."""
+    return WordEncoder(path)
+
+
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) for each document, cut only where longer than capacity; with_ids adds the ids."""
     tail = array("I", [end]).tobytes()
@@ -92,7 +99,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int64())] * with_ids
 
     def run(batches):
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
