@@ -127,8 +127,8 @@ class Scanner:
     def _places(self, template: list[str], own: frozenset, words: list[str]):
         n = len(template)
         hits = np.concatenate([[0], np.cumsum([w in own for w in words])])
-        width = min(len(words), n + n // 4 + 1)
-        inside = hits[width:] - hits[:-width]
+        width, starts = n + n // 4 + 1, np.arange(len(words))
+        inside = hits[np.minimum(starts + width, len(words))] - hits[starts]
         at = 0
         while at < len(inside):
             good = np.flatnonzero(inside[at:] >= COVERAGE * n)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -114,9 +115,19 @@ def discounts(top: DataFrame, c: str) -> list[float]:
 
 @dataclass
 class Ratio:
-    """Log likelihood ratios: `grams` of seen context + letter, `contexts` of the backoff weights."""
-    grams: dict
-    contexts: dict
+    """Log likelihood ratios as Arrow tables: (gram, ratio) of seen context + letter, (ctx, backoff) of the backoff weights.
+
+    The look-up dictionaries are built where they are used, once in a worker."""
+    gram_table: pa.Table
+    ctx_table: pa.Table
+
+    @cached_property
+    def grams(self) -> dict:
+        return dict(zip(*(c.to_pylist() for c in self.gram_table.columns)))
+
+    @cached_property
+    def contexts(self) -> dict:
+        return dict(zip(*(c.to_pylist() for c in self.ctx_table.columns)))
 
     def word(self, word: str) -> float:
         padded, total = START + word + END, 0.0
@@ -155,9 +166,8 @@ def fit_ratio(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Ratio:
         least *= 2
         size = done.where(F.col("n") >= least).count()
     kept = done.where(F.col("n") >= least)
-    grams = kept.select(F.concat("ctx", "letter").alias("g"), "ratio").toPandas()
-    contexts = kept.groupBy("ctx").agg(F.first("backoff").alias("backoff")).toPandas()
-    return Ratio(dict(zip(grams["g"], grams["ratio"].astype(float))), dict(zip(contexts["ctx"], contexts["backoff"].astype(float))))
+    contexts = kept.groupBy("ctx").agg(F.first("backoff").alias("backoff"))
+    return Ratio(kept.select(F.concat("ctx", "letter").alias("gram"), "ratio").toArrow(), contexts.toArrow())
 
 
 class Measure:
