@@ -45,15 +45,17 @@ def _found(text: Column, kind: str, pattern: str) -> Column:
     parts, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     words = kind == "candidate"
 
-    def one(value: Column, i: Column) -> Column:
-        before = F.get(parts, i)
-        after = F.get(parts, i + 1)
+    # split and matches are made once for a text, not once for a match
+    rows = F.arrays_zip(parts, F.slice(parts, 2, 2**31 - 1), hits)
+
+    def one(x: Column, i: Column) -> Column:
+        before, after, value = x["0"], x["1"], x["2"]
         near = [F.substring_index(F.rtrim(before), " ", -2), F.substring_index(F.ltrim(after), " ", 1)] if words else [F.lit(None).cast("string")] * 2
         return F.struct(F.lit(kind).alias("kind"), i.alias("pos"), F.length(before).cast("long").alias("lead"), value.alias("value"),
                         near[0].alias("before"), near[1].alias("after"))
 
     empty = F.array().cast("array<struct<kind:string,pos:int,lead:bigint,value:string,before:string,after:string>>")
-    return F.when(F.rlike(text, F.lit(TRIGGERS[kind])), F.transform(hits, one)).otherwise(empty)
+    return F.when(F.rlike(text, F.lit(TRIGGERS[kind])), F.filter(F.transform(rows, one), lambda x: x["value"].isNotNull())).otherwise(empty)
 
 
 def scan(docs: DataFrame) -> DataFrame:
