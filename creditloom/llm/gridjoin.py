@@ -168,7 +168,8 @@ def compare(pairs: DataFrame, made: DataFrame, least: float) -> DataFrame:
                 same = col["a"][i] == col["b"][i]
                 if same:
                     np.fill_diagonal(mask, False)
-                rows, cols = local_components(mask)
+                # within one block a vector is the same as row and as column
+                rows, cols = local_components(mask | np.eye(len(mask), dtype=bool) if same else mask)
                 out = []
                 smallest = np.full(len(ids), np.iinfo(np.int64).max)
                 np.minimum.at(smallest, rows, ids)
