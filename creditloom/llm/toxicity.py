@@ -8,8 +8,9 @@ two tables: log ratios of seen n-grams, and log ratios of backoff weights of see
 Log-likelihoods are compared per letter over the whole document, and per word for its most telling words; a monotone curve (small boosted
 trees), fitted on labelled documents that the models have not seen, turns these ratios into a probability.
 
-Counts come from every labelled training row, in Spark. The tables that scoring broadcasts hold at most MAX_ENTRIES n-grams: if more are
-seen, the count below which a top-order n-gram is left to backoff is doubled until they fit.
+Counts come from every labelled training row, in Spark. The tables
+of ratios stay in Spark whole. Words are scored by joins of their letters with these tables; the ratios of at most COMMON frequent words are broadcast,
+which spares frequent words the joins with the documents, and every other word takes the join.
 
 Edge cases: a null or wordless text is scored as an empty one; a document without id is scored and is never a training row; repeated rows are scored each and
 counted each; with only one class in training every score is that class's rate; an empty table gives an empty result; extra columns are ignored.
@@ -17,6 +18,7 @@ counted each; with only one class in training every score is that class's rate;
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -26,13 +28,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom.llm import trees
-from creditloom.llm.common import query, stash, table
+from creditloom.llm.common import query, stash, table, with_column_batches
 
 ORDER = 6
 DISCOUNT = 0.75  # of the shared lower orders; the class orders estimate theirs
+#: N-grams that fit_ratio() gathers for look-up at most; score() joins with the whole tables instead.
 MAX_ENTRIES = 2_000_000
+#: Frequent training words whose ratios are broadcast at most; the others are joined.
+COMMON = 200_000
+#: Copies of the rows of contexts of one or two letters, which stand in a large share of the words.
+SALTS = 32
 #: Labelled documents that fit the curve at most, about; the counts have no such bound.
 MAX_CALIBRATION = 20_000
 #: Ratio (nats) above which a word counts as telling.
@@ -61,14 +69,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def top_grams(words: DataFrame) -> DataFrame:
-    """(ctx, letter, toxic, ordinary): the letter after up to ORDER - 1 letters of the same word, with its class counts."""
+def letters(words: DataFrame, *keep: str) -> DataFrame:
+    """(ctx, letter, *keep) for each letter, and the end, of each row of words."""
     padded = F.concat(F.lit(START), F.col("word"), F.lit(END))
     ends = F.sequence(F.lit(2), F.length("padded"))
-    at = words.select("toxic", "ordinary", padded.alias("padded")).select("toxic", "ordinary", "padded", F.explode(ends).alias("i"))
+    at = words.select(*keep, padded.alias("padded")).select(*keep, "padded", F.explode(ends).alias("i"))
     first = F.greatest(F.lit(1), F.col("i") - (ORDER - 1))
-    return (at.select(F.substring("padded", first, F.col("i") - first).alias("ctx"), F.substring("padded", F.col("i"), F.lit(1)).alias("letter"), "toxic", "ordinary")
-            .groupBy("ctx", "letter").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    return at.select(F.substring("padded", first, F.col("i") - first).alias("ctx"), F.substring("padded", F.col("i"), F.lit(1)).alias("letter"), *keep)
+
+
+def top_grams(words: DataFrame) -> DataFrame:
+    """(ctx, letter, toxic, ordinary): the letter after up to ORDER - 1 letters of the same word, with its class counts."""
+    return letters(words, "toxic", "ordinary").groupBy("ctx", "letter").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
 def shared_backoff(top: DataFrame) -> DataFrame:
@@ -138,9 +150,8 @@ class Ratio:
         return total
 
 
-def fit_ratio(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Ratio:
-    """The ratio tables of models counted over docs (text, toxic)."""
-    words = stash(word_counts(docs), "word-counts")
+def ratio_table(words: DataFrame) -> DataFrame:
+    """(ctx, letter, n, ratio, backoff) of every n-gram seen in words (word, toxic, ordinary)."""
     top = stash(top_grams(words), "letter-grams")
     shared = shared_backoff(top)
     w = Window.partitionBy("ctx")  # at most as many rows as there are letters
@@ -159,56 +170,104 @@ def fit_ratio(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Ratio:
         seen = F.when(F.col(f"sum_{c}") > 0, (F.col(c) - cut(c)) / F.col(f"sum_{c}")).otherwise(0.0)
         return seen + weight(c) * F.col("shared")
 
-    done = stash(table.select("ctx", "letter", (F.col("toxic") + F.col("ordinary")).alias("n"), F.log(prob("toxic") / prob("ordinary")).cast("float").alias("ratio"),
+    return stash(table.select("ctx", "letter", (F.col("toxic") + F.col("ordinary")).alias("n"), F.log(prob("toxic") / prob("ordinary")).cast("float").alias("ratio"),
                               F.log(weight("toxic") / weight("ordinary")).cast("float").alias("backoff")), "ratios")
-    least, size = 1, done.count()
-    while size > max_entries:
+
+
+def _frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The rows of counted with n of at least 1, 2, 4 or the next power that leaves at most `most` of them."""
+    least, size = 1, counted.count()
+    while size > most:
         least *= 2
-        size = done.where(F.col("n") >= least).count()
-    kept = done.where(F.col("n") >= least)
+        size = counted.where(F.col("n") >= least).count()
+    return counted.where(F.col("n") >= least)
+
+
+def fit_ratio(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Ratio:
+    """The ratio tables of models counted over docs (text, toxic), gathered for look-up: of more than max_entries n-grams the frequent ones."""
+    kept = _frequent(ratio_table(stash(word_counts(docs), "word-counts")), max_entries)
     contexts = kept.groupBy("ctx").agg(F.first("backoff").alias("backoff"))
     return Ratio(kept.select(F.concat("ctx", "letter").alias("gram"), "ratio").toArrow(), contexts.toArrow())
 
 
-class Measure:
-    """Log likelihood ratios of a text, normalised by letters or words. Words are remembered until the memory is full."""
+def word_ratios(words: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(word, ratio) of each row of words: its letters are joined with the whole table of ratios, those unseen with the weights of their contexts."""
+    short = F.length("ctx") <= 2
+    copies = F.explode(F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
+    at = letters(words, "word").withColumn("salt", F.when(short, F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")).otherwise(0))
+    grams = ratios.select("ctx", "letter", "ratio", copies)
+    contexts = ratios.groupBy("ctx").agg(F.first("backoff").alias("backoff")).select("ctx", "backoff", copies)
+    found = at.join(grams.hint("merge"), ["ctx", "letter", "salt"], "left").join(contexts.hint("merge"), ["ctx", "salt"], "left")
+    return found.groupBy("word").agg(F.sum(F.coalesce("ratio", "backoff", F.lit(0.0)).cast("double")).alias("ratio"))
+
+
+@dataclass
+class Known:
+    """Ratios of frequent words as an Arrow table (word, ratio); the dictionary is built where it is used, once in a worker."""
+    table: pa.Table
+
+    @cached_property
+    def words(self) -> dict:
+        return dict(zip(*(c.to_pylist() for c in self.table.columns)))
+
+
+PARTS = "n long, times long, letters long, total double, excess double, best array<double>, rest array<struct<word:string,times:long>>"
 
-    def __init__(self, ratio: Ratio, cached: int = 500_000):
-        self.ratio, self.known, self.cached = ratio, {}, cached
 
-    def __call__(self, text: str | None) -> list[float]:
-        words = Counter(WORD.findall((text or "").lower()))
-        if not words:
-            return [0.0] * len(MEASURES)
-        if len(self.known) > self.cached:
-            self.known.clear()
-        known = self.known
-        for w in words:
-            if w not in known:
-                known[w] = self.ratio.word(w)
-        n = len(words)
-        r = np.fromiter(map(known.__getitem__, words), float, n)
-        times = np.fromiter(words.values(), float, n)
-        letters = np.fromiter(map(len, words), float, n) + 1
-        best = np.sort(r)[::-1]
-        excess = float(np.maximum(r - TELLING, 0).sum())
-        return [float((r * times).sum() / (letters * times).sum()), *[float(best[min(k, n) - 1]) for k in BEST], excess, excess / n, float(np.log1p(times.sum()))]
+def _parts(text: str | None, known: dict) -> tuple:
+    """PARTS of a text: its distinct words, words and letters; sums and best ratios of its known words; and the other words."""
+    words = Counter(WORD.findall((text or "").lower()))
+    r, rest, total, excess = [], [], 0.0, 0.0
+    for w, times in words.items():
+        hit = known.get(w)
+        if hit is None:
+            rest.append({"word": w, "times": times})
+        else:
+            r.append(hit)
+            total += hit * times
+            if hit > TELLING:
+                excess += hit - TELLING
+    return len(words), sum(words.values()), sum((len(w) + 1) * t for w, t in words.items()), total, excess, heapq.nlargest(max(BEST), r), rest
 
 
-def measured(docs: DataFrame, model, into: str, kind: str, finish) -> DataFrame:
-    """docs without text, with finish(matrix of measures) as column `into`; model is broadcast, its size is bounded by MAX_ENTRIES."""
-    keep = [c for c in docs.columns if c not in ("text", into)]
+def measured(docs: DataFrame, words: DataFrame, ratios: DataFrame, common: int | None = None) -> DataFrame:
+    """docs without text, with the MEASURES of the text as column x, normalised by letters or words.
+
+    words are those counted for ratios; the most frequent of them are broadcast (COMMON at most), all others are joined.
+    """
+    counted = words.select("word", (F.col("toxic") + F.col("ordinary")).alias("n"))
+    frequent = _frequent(counted, COMMON if common is None else common)
+    known = docs.sparkSession.sparkContext.broadcast(Known(word_ratios(frequent, ratios).toArrow()))
+    keep = [c for c in docs.columns if c != "text"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))]
+    fields = [f.split()[0] for f in PARTS.split(", ")]
 
     def run(batches):
-        measure = Measure(model.value)
         for batch in batches:
             names = batch.schema.names
-            x = [measure(t) for t in batch.column(names.index("text")).to_pylist()]
-            made = finish(np.array(x).reshape(-1, len(MEASURES)))
-            yield pa.RecordBatch.from_arrays([*[batch.column(names.index(c)) for c in keep], pa.array(list(made))], names=[*keep, into])
+            made = list(zip(*(_parts(t, known.value.words) for t in batch.column(names.index("text")).to_pylist()))) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([*[batch.column(names.index(c)) for c in keep], *[pa.array(list(m), k) for m, k in zip(made, kinds)]], names=[*keep, *fields])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.mapInArrow(run, f"{schema}, `{into}` {kind}")
+    # the number of a row is fixed once it is written
+    parts = stash(docs.mapInArrow(run, f"{schema}, {PARTS}").withColumn("row", F.monotonically_increasing_id()), "text-parts")
+    rest = parts.select("row", F.explode("rest").alias("at")).select("row", "at.word", "at.times")
+    scored = stash(word_ratios(rest.select("word").distinct(), ratios), "word-ratios")
+    k = max(BEST)
+    joined = (rest.join(scored.hint("merge"), "word").groupBy("row")
+              .agg(F.sum(F.col("ratio") * F.col("times")).alias("more"), F.sum(F.greatest(F.col("ratio") - TELLING, F.lit(0.0))).alias("more_excess"), F.collect_list("ratio").alias("others")))
+    both = parts.drop("rest").join(joined.hint("merge"), "row", "left")
+    top = F.slice(F.sort_array(F.concat("best", F.coalesce("others", F.array().cast("array<double>"))), asc=False), 1, k)
+    excess = F.col("excess") + F.coalesce("more_excess", F.lit(0.0))
+    x = F.array((F.col("total") + F.coalesce("more", F.lit(0.0))) / F.greatest("letters", F.lit(1)), *[F.get("top", (F.least(F.lit(i), F.col("n")) - 1).cast("int")) for i in BEST],
+                excess, excess / F.greatest("n", F.lit(1)), F.log1p(F.col("times").cast("double")))
+    empty = F.array(*[F.lit(0.0)] * len(MEASURES))
+    return both.withColumn("top", top).select(*keep, F.when(F.col("n") > 0, x).otherwise(empty).alias("x"))
+
+
+def _probability(rows: DataFrame, curve: trees.Forest) -> DataFrame:
+    """rows with the probability for the measures x as column score, instead of x."""
+    return with_column_batches(rows, lambda x: curve.probability(np.array(x).reshape(-1, len(MEASURES))).tolist(), "x", "score", T.DoubleType()).drop("x")
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -228,13 +287,14 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         n = sum(r["n"] for r in classes)
         rate = sum(r["n"] for r in classes if r["toxic"]) / n if n else 0.0
         return docs.select("doc_id", held.alias("held_out"), F.lit(rate).alias("score"), F.lit(int(rate >= THRESHOLD)).alias("predicted"))
-    model = spark.sparkContext.broadcast(fit_ratio(train.where("fold <> 0").select("text", "toxic")))
     share = min(1.0, MAX_CALIBRATION / (size(True, 0) + size(True, 1)))
-    chosen = train.where("fold = 0").where(F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("doc_id", "text", "toxic")
-    rows = measured(chosen, model, "x", "array<double>", lambda x: x.tolist()).select("doc_id", "toxic", "x").toPandas().sort_values("doc_id")
+    chosen = (F.col("fold") == 0) & (F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    words = stash(word_counts(train.where("fold <> 0")), "word-counts")
+    ratios = ratio_table(words)
+    rows = measured(train.where(chosen).select("doc_id", "text", "toxic"), words, ratios).select("doc_id", "toxic", "x").toPandas().sort_values("doc_id")
     curve = trees.fit(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float), list(MEASURES), trees=40, depth=3)
 
-    scored = measured(docs, model, "score", "double", curve.probability)
+    scored = _probability(measured(docs, words, ratios), curve)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 

@@ -250,6 +250,26 @@ def test_toxicity_odd_rows(spark, odd, no_documents):
     assert {r.score for r in toxicity.score(odd, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_keeps_all_ngrams(spark, sf, monkeypatch):
+    """Scores are the same however few n-grams may be gathered and words broadcast, and words score as by look-up in the whole tables."""
+    path = sf.replace("sf0.001", "sf0.01")
+    docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
+    whole = sorted((r.doc_id, r.score) for r in toxicity.score(docs, labels).collect())
+    monkeypatch.setattr(toxicity.fit_ratio, "__defaults__", (40,))
+    monkeypatch.setattr(toxicity, "COMMON", 3, raising=False)
+    few = sorted((r.doc_id, r.score) for r in toxicity.score(docs, labels).collect())
+    assert [i for i, _ in few] == [i for i, _ in whole] and np.allclose([v for _, v in few], [v for _, v in whole])
+    words = toxicity.word_counts(docs.join(labels, "doc_id").select("text", "toxic")).persist()
+    ratio = toxicity.fit_ratio(docs.join(labels, "doc_id").select("text", "toxic"), max_entries=10**9)
+    texts = [(1, "Unseen wordings and other words, words é你好 end"), (2, ""), (3, None), (4, "the")]
+    for r in toxicity.measured(spark.createDataFrame(texts, "doc_id long, text string"), words, toxicity.ratio_table(words)).collect():
+        found = Counter(re.findall(r"[^\W\d_]+", (texts[r.doc_id - 1][1] or "").lower()))
+        best = sorted((ratio.word(w) for w in found), reverse=True)
+        over = sum(max(v - toxicity.TELLING, 0) for v in best)
+        mean = sum(ratio.word(w) * n for w, n in found.items()) / max(1, sum((len(w) + 1) * n for w, n in found.items()))
+        assert np.allclose(r.x, [mean, *[best[min(k, len(best)) - 1] for k in toxicity.BEST], over, over / len(best), np.log1p(found.total())] if found else [0] * len(toxicity.MEASURES))
+
+
 # --- pipeline
 def test_pipeline_stages(spark, sf):
     path = sf.replace("sf0.001", "sf0.01")
