@@ -31,8 +31,8 @@ BANDS, ROWS = 32, 4
 #: All minima count for the estimate, which errs by 0.027 (one sigma) at 0.75; pairs 4.5 sigma below the threshold still go on to the exact check.
 MINIMA = 256
 LEAST_ESTIMATE = 0.63
-#: Mixed buckets with at most so many pairs are joined directly, larger ones in blocks of BLOCK by BLOCK members whose signatures are compared inside
-#: tasks; beyond HUGE pairs a bucket is first cut by every further band.
+#: Mixed buckets with at most DIRECT pairs are joined directly, larger ones in blocks of BLOCK by BLOCK members whose signatures are compared inside
+#: tasks; beyond HUGE pairs the blocks have eight times the members a side, so that members are copied to an eighth of the blocks.
 DIRECT, BLOCK, HUGE = 256, 256, 1 << 30
 
 _RNG = np.random.default_rng(20_240_229)
@@ -174,7 +174,8 @@ def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame) -> DataFra
         both = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
 
-    parts = mixed.select("bucket", "largest", F.ceil(F.col("others") / BLOCK).alias("nx"), F.ceil(F.col("members") / BLOCK).alias("ny"))
+    side = F.when(F.col("pairs") > HUGE, 8 * BLOCK).otherwise(BLOCK)
+    parts = mixed.select("bucket", "largest", F.ceil(F.col("others") / side).alias("nx"), F.ceil(F.col("members") / side).alias("ny"))
     rows = members.join(parts, "bucket")
     at = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "rep"), F.col(n)).cast("long")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -187,23 +188,13 @@ def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame) -> DataFra
 def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Likely pairs of different components within mixed buckets: what is outside a bucket's largest component meets all its other members."""
     sig = lambda c: sets.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"))
-    found, depth = None, 0
-    while True:
-        mixed = stash(_mixed(members), "mixed-buckets")
-        x = members.join(mixed.where(F.col("pairs") <= DIRECT).select("bucket", "largest"), "bucket").select("bucket", "largest", "rep", "component")
-        y = x.select("bucket", F.col("rep").alias("other"), F.col("component").alias("theirs"))
-        pairs = (x.where("component <> largest").join(y, "bucket").where("component <> theirs")
-                 .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct())
-        direct = _estimated(pairs.join(sig("b"), "b").join(sig("a"), "a")).select("a", "b")
-        blocks = _in_blocks(members, mixed.where(F.col("pairs").between(DIRECT + 1, HUGE)), sets)
-        now = direct.unionByName(blocks)
-        found = now if found is None else found.unionByName(now)
-        large = mixed.where(F.col("pairs") > HUGE).select("bucket")
-        depth += 1
-        if depth >= BANDS or large.isEmpty():
-            return found.distinct()
-        members = stash(members.join(large, "bucket").join(sets.select("rep", "bands"), "rep").select("rep", "component", "bucket", F.explode("bands").alias("more"))
-                        .select("rep", "component", F.xxhash64("bucket", "more").alias("bucket")), "sub-buckets")
+    mixed = stash(_mixed(members), "mixed-buckets")
+    x = members.join(mixed.where(F.col("pairs") <= DIRECT).select("bucket", "largest"), "bucket").select("bucket", "largest", "rep", "component")
+    y = x.select("bucket", F.col("rep").alias("other"), F.col("component").alias("theirs"))
+    pairs = (x.where("component <> largest").join(y, "bucket").where("component <> theirs")
+             .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct())
+    direct = _estimated(pairs.join(sig("b"), "b").join(sig("a"), "a")).select("a", "b")
+    return direct.unionByName(_in_blocks(members, mixed.where(F.col("pairs") > DIRECT), sets)).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -104,6 +104,17 @@ def test_near_duplicates_with_small_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_near(rows)
 
 
+def test_huge_buckets_keep_their_pairs(spark, monkeypatch):
+    """Pairs of a bucket over HUGE are found even where further bands do not cut it."""
+    for name, value in (("DIRECT", 1), ("BLOCK", 2), ("HUGE", 1), ("BANDS", 1)):
+        monkeypatch.setattr(minhash, name, value)
+    sig = bytearray(range(256))
+    sets = spark.createDataFrame([(i, [7], sig) for i in range(40)], "rep long, bands array<long>, sig binary")
+    members = spark.createDataFrame([(i, 0 if i < 37 else i, 7) for i in range(40)], "rep long, component long, bucket long")
+    got = [(r.a, r.b) for r in minhash._across(members, sets).collect()]
+    assert sorted(got) == [(a, b) for a, b in combinations(range(40), 2) if b >= 37]
+
+
 def test_near_duplicates_odd_rows(spark, odd, no_documents):
     got = minhash.near_duplicates(odd).collect()
     assert len(got) == len(ODD)
