@@ -8,7 +8,7 @@ two tables: log ratios of seen n-grams, and log ratios of backoff weights of see
 Log-likelihoods are compared per letter over the whole document, and per word for its most telling words; a monotone curve (small boosted
 trees), fitted on labelled documents that the models have not seen, turns these ratios into a probability.
 
-Counts come from every labelled training row, in Spark. The tables
+Counts come from every labelled training row, in Spark: while the curve is fitted its own rows are left out, then all are counted again. The tables
 of ratios stay in Spark whole. Words are scored by joins of their letters with these tables; the ratios of at most COMMON frequent words are broadcast,
 which spares frequent words the joins with the documents, and every other word takes the join.
 
@@ -273,7 +273,7 @@ def _probability(rows: DataFrame, curve: trees.Forest) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row of docs (doc_id, text); rows that are held out are never learnt from.
 
-    Three quarters of the training rows count for the models, the rest fits the curve.
+    The curve is fitted on a quarter of the training rows, MAX_CALIBRATION at most, by models that have not counted them; the final models count all.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
@@ -289,12 +289,14 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return docs.select("doc_id", held.alias("held_out"), F.lit(rate).alias("score"), F.lit(int(rate >= THRESHOLD)).alias("predicted"))
     share = min(1.0, MAX_CALIBRATION / (size(True, 0) + size(True, 1)))
     chosen = (F.col("fold") == 0) & (F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    words = stash(word_counts(train.where("fold <> 0")), "word-counts")
-    ratios = ratio_table(words)
-    rows = measured(train.where(chosen).select("doc_id", "text", "toxic"), words, ratios).select("doc_id", "toxic", "x").toPandas().sort_values("doc_id")
+    words = stash(word_counts(train.where(~chosen)), "word-counts")
+    fit = train.where(chosen).select("doc_id", "text", "toxic")
+    rows = measured(fit, words, ratio_table(words)).select("doc_id", "toxic", "x").toPandas().sort_values("doc_id")
     curve = trees.fit(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float), list(MEASURES), trees=40, depth=3)
 
-    scored = _probability(measured(docs, words, ratios), curve)
+    every = words.unionByName(word_counts(fit)).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    words = stash(every, "word-counts")
+    scored = _probability(measured(docs, words, ratio_table(words)), curve)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 

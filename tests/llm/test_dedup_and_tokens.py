@@ -281,6 +281,22 @@ def test_toxicity_keeps_all_ngrams(spark, sf, monkeypatch):
         assert np.allclose(r.x, [mean, *[best[min(k, len(best)) - 1] for k in toxicity.BEST], over, over / len(best), np.log1p(found.total())] if found else [0] * len(toxicity.MEASURES))
 
 
+def test_toxicity_counts_calibration_rows(spark, monkeypatch):
+    """An expression whose labelled rows all serve the curve is known to the models that score."""
+    class Mean:
+        def probability(self, x):
+            return 1 / (1 + np.exp(-x[:, 0]))
+
+    monkeypatch.setattr(toxicity.trees, "fit", lambda *a, **b: Mean())
+    fold = {r.id: r.fold for r in spark.range(400).selectExpr("id", "pmod(xxhash64('fold', id), 4L) as fold").collect()}
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rare = set([i for i in train if fold[i] == 0 and i % 2][:12])
+    docs = [(i, f"{prose(8, i)} {'zqxjkv' if i in rare else 'nasty' if i % 2 else 'nice'}") for i in train] + [(1000, "zqxjkv"), (1001, "zwyfhd")]
+    labels = spark.createDataFrame([(i, i % 2) for i in train], "doc_id long, toxic int")
+    score = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), labels).collect()}
+    assert len(rare) == 12 and score[1000] > score[1001] + 0.1
+
+
 # --- pipeline
 def test_pipeline_stages(spark, sf):
     path = sf.replace("sf0.001", "sf0.01")
