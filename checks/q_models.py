@@ -139,27 +139,6 @@ def incremental_scoring(spark, sf):
     return tables.read(spark).select("application_id", "pd", "grade", "decision", "fraud_decision")
 
 
-@query("streaming_breakers", sql("""select window_start, metric, value, case when v<coalesce(fl,-1) or v<cl or v>ch then 'CRITICAL' when v<wl or v>wh then 'WARNING' else 'OK' end as level from (
- select m.*, w as window_start, case m.metric when 'approve_rate' then a when 'review_rate' then r when 'decline_rate' then d else p end as v, round(v,4) as value from (
- select make_timestamp(cast(floor(epoch(signing_date)/(30*86400)) as bigint)*30*86400*1000000) as w, avg(case when decision='approve' then 1e0 else 0 end) as a, avg(case when decision='review' then 1e0 else 0 end) as r, avg(case when decision='decline' then 1e0 else 0 end) as d, avg(pd) as p from decided group by 1) x,
- (values ('approve_rate',0.35,0.75,0.10,0.85,0.10),('review_rate',0.20,0.65,0.10,0.80,null),('decline_rate',0.01,0.15,0.0,0.25,null),('mean_pd',0.03,0.20,0.01,0.30,null)) m(metric,wl,wh,cl,ch,fl)) t""", "decided"))
-def streaming_breakers(spark, sf):
-    """The scored table replayed as a stream into 30-day event-time windows."""
-    df = fr.scored_table(spark, sf)
-    root = scratch_path(spark, "breakers")
-    d = c("signing_date")
-    utc = F.timestamp_seconds(F.unix_date(F.to_date(d)) * 86400 + F.hour(d) * 3600 + F.minute(d) * 60 + F.second(d))  # whatever the session zone
-    df.select(utc.alias("scored_at"), "decision", "pd").write.parquet(root + "/in")
-    stream = spark.readStream.schema(spark.read.parquet(root + "/in").schema).option("maxFilesPerTrigger", 2).parquet(root + "/in")
-    out = live.rolling_breakers(stream, width="30 days", late="1 day")
-    q = (out.writeStream.outputMode("complete").option("checkpointLocation", root + "/ckpt").trigger(availableNow=True)
-         .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(root + "/out")).start())
-    q.awaitTermination()
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    start = epoch + F.make_dt_interval(secs=F.unix_seconds("window_start"))
-    return spark.read.parquet(root + "/out").select(start.alias("window_start"), "metric", "value", "level")
-
-
 @query("nsf_windows", """select user_id as account, w as window_start, count(*) as nsf_count from (select user_id, date_trunc('day', ts)::timestamp - to_days(cast(k as integer)) as w from events, (select unnest(range(30)) as k) g where event_type='error') t group by 1,2 having count(*)>=2""")
 def nsf_windows(spark, sf):
     e = fx.transactions(spark, sf)
