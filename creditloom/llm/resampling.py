@@ -185,12 +185,13 @@ def _ranked(winners: DataFrame) -> DataFrame:
 
 
 def resample(docs: DataFrame, target: DataFrame, share: tuple[int, int] = SHARE, least: int = LEAST_WORDS, seed: int = SEED,
-             buckets: int = BUCKETS, few: int = FEW) -> DataFrame:
+             buckets: int = BUCKETS, few: int = FEW, without: tuple[str, ...] = ()) -> DataFrame:
     """docs (doc_id, text, ...) with n_words, n_features, weight, score and rank; rank is null for those not drawn.
 
-    Of the documents with at least `least` words the share (numerator, denominator), rounded down, is drawn.
+    Of the documents with at least `least` words the share (numerator, denominator), rounded down, is drawn. Columns named in `without`
+    are left out of the result, and of all that is written and sorted on the way to it.
     """
-    scored = weigh(docs.drop("score", "rank"), gains(docs, target, buckets)).withColumn("score", gumbel_score(seed))
+    scored = weigh(docs.drop("score", "rank"), gains(docs, target, buckets)).drop(*without).withColumn("score", gumbel_score(seed))
     keyed = stash(scored.withColumns({"k_score": -F.col("score"), "k_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "k_row": F.monotonically_increasing_id()}), "scored")
     able = F.col("n_words") >= least
     n = keyed.where(able).count()
@@ -236,5 +237,5 @@ FROM scored LEFT JOIN placed USING (doc_id)
 @query("op13_resample", _oracle())
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    drawn = resample(docs, table(spark, sf_dir, "benchmark"))
+    drawn = resample(docs, table(spark, sf_dir, "benchmark"), without=("text",))
     return drawn.select(*(F.col(c).cast("long").alias(c) for c in ("doc_id", "n_features", "weight", "score", "rank")))
