@@ -11,7 +11,7 @@ from creditloom.operators.grading import fixed_grade
 from creditloom.operators.metrics import ranking
 from creditloom.operators.models import LogitModel
 from creditloom.plans.scoring import ScoringConfig, live_record, score_cascade, score_six_rules
-from creditloom.session import scratch_path
+from creditloom.session import cut_lineage, scratch_path
 from creditloom.sources import fixtures as fx
 from creditloom.streaming import incremental, live
 
@@ -115,7 +115,7 @@ def concordance(spark, sf):
 
 
 # --- streaming ------------------------------------------------------------------------
-def _six(df):
+def six_rules(df):
     df = df.withColumn("lu_connected_loans", c("prior_loans_ssn"))
     scored = score_six_rules(df, lambda d: d.withColumn("pd", F.round(LogitModel(*fx.WOE_STATE).column(), 6)))
     return live_record(scored, "stream")
@@ -132,7 +132,7 @@ def incremental_scoring(spark, sf):
     schema = spark.read.parquet(root + "/in/f0").schema
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 8).parquet(root + "/in")
     tables = incremental.LiveTables(root + "/scored", root + "/log")
-    q = incremental.start(stream, tables, _six, root + "/ckpt", entity=fr.history(spark, sf), every=None)
+    q = incremental.start(stream, tables, six_rules, root + "/ckpt", entity=cut_lineage(fr.history(spark, sf)), every=None)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.session import scratch_path
+from creditloom.session import cut_lineage, scratch_path
 from creditloom.sources import fixtures as fx
-from creditloom.streaming import stateful
+from creditloom.sources.appendlog import AppendLog
+from creditloom.streaming import incremental, stateful
 
 from . import frames as fr
 from .base_sql import sql
+from .q_models import six_rules
+from .q_rules import _SIX
 from .registry import query
 
 c = F.col
@@ -112,3 +115,45 @@ def late_decisions(spark, sf):
     stream = replay(df.where(~late), "scored_at", _file_of_year(4), 4, root, last=df.where(late))
     out, _ = drain(stateful.window_totals(stream, width="30 days", late="1 day"), root)
     return stateful.late_rows(out).select(zoneless(F.unix_micros("window_start")).alias("window_start"), "n_final", "n_late")
+
+
+@query("append_log", "select o_orderkey as k, o_totalprice as price, cast(o_orderkey % 4 as bigint) as batch_id from orders")
+def append_log(spark, sf):
+    """Four appends: one dies between staging and commit and is replayed, one is replayed after its commit."""
+    root = scratch_path(spark, "append")
+    log, table = AppendLog(spark, root), f"{root}/rows"
+    rows = fx.table(spark, sf, "orders").select(c("o_orderkey").alias("k"), c("o_totalprice").alias("price"))
+    for i in (0, 1, 2, 3):
+        part = rows.where(c("k") % 4 == i)
+        if i == 1:
+            log.stage(part, table, i)  # the writer died here
+        log.append(part, table, i)
+        if i == 2:
+            log.append(part, table, i)
+    return log.read(table).select("k", "price", c("batch_id").cast("bigint").alias("batch_id"))
+
+
+@query("live_metrics", sql("""select n_obs as n_cumulative, n_bad as n_bad_cumulative, round(auc,6) as auc, round(average_precision,6) as average_precision, (select mcc from cf) as mcc, (select ece from ec) as ece from rk""", "six", plus=_SIX + """,
+h as (select pd as s, sum(is_bad) as pos, sum(1-is_bad) as neg from sixpd group by 1),
+cm as (select *, sum(pos) over w as cpos, sum(neg) over w as cneg, sum(pos) over () as np, sum(neg) over () as nn from h window w as (order by s)),
+rk as (select cast(max(np+nn) as bigint) as n_obs, cast(max(np) as bigint) as n_bad, sum(pos*(cneg-neg)+0.5e0*pos*neg)/(max(np)*max(nn)) as auc, sum(pos/np*((np-cpos+pos)/((np-cpos+pos)+(nn-cneg+neg)))) as average_precision from cm),
+f4 as (select count(*) filter (where decision<>'approve' and is_bad=1)::double as tp, count(*) filter (where decision<>'approve' and is_bad=0)::double as fp, count(*) filter (where decision='approve' and is_bad=1)::double as fn, count(*) filter (where decision='approve' and is_bad=0)::double as tn from sixpd),
+cf as (select round(coalesce((tp*tn-fp*fn)/nullif(sqrt((tp+fp)*(tp+fn)*(tn+fp)*(tn+fn)),0),0),6) as mcc from f4),
+ec as (select round(sum(n*abs(y-p))/(select count(*) from sixpd),6) as ece from (select floor(pd*10+1e-12) as b, count(*) as n, avg(is_bad) as y, avg(pd) as p from sixpd where pd<1 group by 1) t)"""))
+def live_metrics(spark, sf):
+    """Applications scored in several micro-batches; the last batch's cumulative metrics are those of all of them."""
+    root = scratch_path(spark, "live")
+    apps = fr.scope(spark, sf)
+    for i in range(3):
+        apps.where(c("application_id") % 3 == i).coalesce(1).write.parquet(f"{root}/in/f{i}")
+    schema = spark.read.parquet(f"{root}/in/f0").schema
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    tables = incremental.LiveTables(f"{root}/scored", f"{root}/log")
+    entity = cut_lineage(fr.history(spark, sf))  # a written side table: each batch reads it
+    q = incremental.start(stream, tables, six_rules, f"{root}/ckpt", entity=entity, every=None)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    last = tables.read(spark, "log").orderBy(F.desc(c("batch_id").cast("int"))).limit(1)
+    return fr.rounded(last.select("n_cumulative", "n_bad_cumulative", c("auc_cumulative").alias("auc"), c("avg_precision_cumulative").alias("average_precision"),
+                                  c("mcc_cumulative").alias("mcc"), c("ece_cumulative").alias("ece")))

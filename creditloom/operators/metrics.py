@@ -28,8 +28,11 @@ def ranking(df: DataFrame, scores: Sequence[str], label: str = "is_bad", by: Seq
     """AUC (ties half), Gini, KS, average precision per score: one row per (by, name).
 
     Metrics are NULL when only one class is present."""
-    table = score_table(df, scores, label, by)
-    series = [*by, "name"]
+    return ranking_of_counts(score_table(df, scores, label, by), [*by, "name"])
+
+
+def ranking_of_counts(table: DataFrame, series: Sequence[str]) -> DataFrame:
+    """The same from (series, value, pos, neg) with one row per distinct score; such tables of disjoint rows may be summed first."""
     cum = running_sums(table, ["value"], ["pos", "neg"], series=series, merge=False)
     total = table.groupBy(*series).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
@@ -94,8 +97,12 @@ def confusion(df: DataFrame, predicted: Column, label: str = "is_bad", by: Seque
     """tp/fp/fn/tn with precision, recall, F2, MCC and Cohen's kappa."""
     y, p = F.col(label) == 1, F.coalesce(predicted, F.lit(False))
     g = df.groupBy(*by) if by else df
-    t = g.agg(F.count_if(p & y).alias("tp"), F.count_if(p & ~y).alias("fp"),
-              F.count_if(~p & y).alias("fn"), F.count_if(~p & ~y).alias("tn"))
+    return confusion_rates(g.agg(F.count_if(p & y).alias("tp"), F.count_if(p & ~y).alias("fp"),
+                                 F.count_if(~p & y).alias("fn"), F.count_if(~p & ~y).alias("tn")))
+
+
+def confusion_rates(t: DataFrame) -> DataFrame:
+    """Rates from the four cells tp, fp, fn, tn."""
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     n = tp + fp + fn + tn
     den = F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))

@@ -1,4 +1,4 @@
-"""Sinks: parquet with manifest, scored CSV, JSON reports, append tables, model state."""
+"""Sinks: parquet with manifest, scored CSV, JSON reports, model state (appends: appendlog)."""
 
 from __future__ import annotations
 
@@ -43,10 +43,6 @@ def write_report(metrics: DataFrame, folder: str, run_date: str) -> None:
     df.write.mode("overwrite").text(f"{folder}/report_latest")
 
 
-def append_table(df: DataFrame, table: str) -> None:
-    df.write.mode("append").saveAsTable(table)
-
-
 def write_lookup_json(lookup: DataFrame, path: str) -> None:
     lookup.write.mode("overwrite").json(path)
 

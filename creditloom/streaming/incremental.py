@@ -1,7 +1,8 @@
 """Incremental scoring: new applications only, exactly one scored row per application.
 
-Each micro-batch is written to its own ``batch_id`` folder with overwrite, so a
-batch replayed after a failure replaces its own output. The anti join against
+Each micro-batch stages its scores, its run log and its running totals and publishes
+them with one marker of the append log, so a batch that fails half way leaves nothing
+and a replayed one changes nothing. The anti join against
 the scored table reads one narrow column, the ids of every batch: an application
 may come back with another signing date, or with none.
 """
@@ -18,25 +19,29 @@ from pyspark.sql import types as T
 
 from ..operators.metrics import confusion, decile_lift, expected_calibration_error, label_agreement, ranking
 from ..operators.summary import run_log
+from ..sources.appendlog import AppendLog
+from .totals import add_totals, batch_totals, cumulative_metrics
 
 MIN_METRIC_ROWS = 50
 
 
 @dataclass(frozen=True)
 class LiveTables:
-    """Folders of the scored table and the run log."""
+    """Folders of the scored table and the run log; the append log of both and of the running totals is kept beside the scores."""
 
     scored: str
     log: str
 
-    def read(self, spark: SparkSession, which: str = "scored") -> DataFrame | None:
-        """The table, or None on the first run."""
-        try:
-            return spark.read.parquet(getattr(self, which))
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+    @property
+    def totals(self) -> str:
+        return f"{self.scored}_totals"
+
+    def commits(self, spark: SparkSession) -> AppendLog:
+        return AppendLog(spark, f"{self.scored}_commits")
+
+    def read(self, spark: SparkSession, which: str = "scored", before: int | None = None, only: str | None = None) -> DataFrame | None:
+        """The committed rows of a table, or None on the first run."""
+        return self.commits(spark).read(getattr(self, which), which, before, only)
 
 
 def _month(col: str = "signing_date"):
@@ -83,16 +88,18 @@ def batch_metrics(batch: DataFrame, min_rows: int = MIN_METRIC_ROWS) -> DataFram
 
 def score_batch(batch: DataFrame, batch_id: int, tables: LiveTables, score: Callable[[DataFrame], DataFrame],
                 entity: DataFrame | None = None, version: str = "six-rules") -> None:
-    """One micro-batch: anti join, score, write, log. Safe to run twice for the same batch id."""
+    """One micro-batch: anti join, score, stage, log, commit. Safe to run twice for the same batch id."""
     spark = batch.sparkSession
     from ..operators.enrich import attach_entity
+    sink = tables.commits(spark)
+    if sink.has(batch_id):
+        return
     scored = tables.read(spark)
     new = only_new(batch, scored, batch_id)
     if entity is not None:
         new = attach_entity(new, entity)
     out = score(new).withColumn("signing_month", _month())
-    path = f"{tables.scored}/batch_id={batch_id}"
-    out.write.mode("overwrite").partitionBy("signing_month").parquet(path)
+    path = sink.stage(out, tables.scored, batch_id, "signing_month")
     schema = out.schema
     try:
         written = spark.read.schema(schema).parquet(path)
@@ -100,11 +107,20 @@ def score_batch(batch: DataFrame, batch_id: int, tables: LiveTables, score: Call
     except AnalysisException:
         written, n_new = spark.createDataFrame([], schema), 0
     total = F.lit(batch.count()).cast("bigint")
-    before = scored.where(F.col("batch_id") != batch_id).count() if scored is not None else 0
+    before = scored.count() if scored is not None else 0
     log = run_log(written, str(batch_id), total, F.lit(before + n_new).cast("bigint"), version)
     if n_new:
         log = log.withColumn("_m", batch_metrics(written).select(F.struct("*")).scalar()).select("*", "_m.*").drop("_m")
-    log.withColumn("run_timestamp", F.current_timestamp()).write.mode("overwrite").parquet(f"{tables.log}/batch_id={batch_id}")
+    folders = {"scored": path}
+    if "is_bad" in schema.names:
+        # the last committed totals hold all batches before this one
+        last = max((int(t) for t in sink.commits()), default=-1)
+        seen = tables.read(spark, "totals", only=str(last)) if last >= 0 else None
+        folders["totals"] = sink.stage(add_totals(seen, batch_totals(written)), tables.totals, batch_id)
+        sums = cumulative_metrics(spark.read.parquet(folders["totals"]))
+        log = log.withColumn("_c", sums.select(F.struct("*")).scalar()).select("*", "_c.*").drop("_c")
+    folders["log"] = sink.stage(log.withColumn("run_timestamp", F.current_timestamp()), tables.log, batch_id)
+    sink.commit(batch_id, folders)
 
 
 def start(stream: DataFrame, tables: LiveTables, score: Callable[[DataFrame], DataFrame], checkpoint: str,
