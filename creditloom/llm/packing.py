@@ -9,7 +9,7 @@ Sizes are integers up to the capacity, so what reaches the driver in a round is
 counts; pieces and sequences stay in Spark. Ranks are counted in salted parts, so one length may hold any share of the rows.
 
 Edge cases: a null or empty text is the end token alone; a null id is an ordinary value; repeated rows are packed each; an
-empty table gives no sequence; extra columns are ignored; ties within a length go by (doc_id, piece).
+empty table gives no sequence; extra columns are ignored; a text of any length is encoded whole and cut by tokens; ties within a length go by (doc_id, piece).
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ class WordEncoder:
 
     The vocabulary's pre-tokenizer never joins text across white space, so each word between ASCII blanks is encoded once
     and remembered (the memory is emptied when full). Final full stops and commas are pieces of their own after a letter or digit.
+    Words of ASCII alone are remembered in lower case; others may compose before the vocabulary lowers them. Texts that
+    hold the string of a special token are encoded whole.
     """
 
     def __init__(self, path: str, cached: int = 1_000_000):
@@ -47,7 +49,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
         self.cached = cached
 
@@ -76,13 +78,15 @@ class WordEncoder:
     def __call__(self, texts: list) -> list[bytes]:
         out, known = [], self.known
         for i in range(0, len(texts), 256):
-            split = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts[i:i + 256]]
+            raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts[i:i + 256]]
+            whole = {j for j, t in enumerate(raw) if b"<|" in t and any(s in t for s in self.special)}
+            split = [[] if j in whole else t.lower().split() if t.isascii() else [w.lower() if w.isascii() else w for w in t.split()] for j, t in enumerate(raw)]
             if len(known) > self.cached:
                 known.clear()
             missing = {w for words in split for w in words if w not in known}
             if missing:
                 self._learn(missing)
-            out += [b"".join(map(known.__getitem__, words)) for words in split]
+            out += [self._encode([raw[j]])[0] if j in whole else b"".join(map(known.__getitem__, words)) for j, words in enumerate(split)]
         return out
 
 
@@ -240,7 +244,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def packed(docs: DataFrame, path: str | None = None) -> DataFrame:
-    pieces = token_pieces(docs, path or public_tokenizers.path(VOCABULARY))
+    # written once: ranking reads the pieces twice, and tokens are dear
+    pieces = stash(token_pieces(docs, path or public_tokenizers.path(VOCABULARY)), "token-pieces")
     return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
