@@ -5,7 +5,8 @@ the places where its pair stands. Merges are applied in rank order, each at all
 merged pair enter the index anew. Within a word the result is that of merging the lowest rank first, leftmost first. Blocks are Arrow
 batches of the partitions, so the work is spread like the documents and memory stays bounded; no vocabulary is trained.
 
-Edge cases: a null text is encoded as an empty one (no ids); null or unknown ids decode to nothing; repeated rows are encoded each; an empty
+Edge cases: a null text is encoded as an empty one (no ids); null or unknown ids decode to nothing; repeated rows are encoded each; a text of any length is encoded
+whole, one longer than a block alone; ties between merges go by rank, then from the left; an empty
 table gives an empty result; extra columns pass through, and one named like the result is replaced.
 """
 
@@ -13,21 +14,24 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.llm.common import query, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Documents whose pre-tokens are merged together.
-BLOCK = 4096
+#: Bytes of text whose pre-tokens are merged together, about, and documents at most.
+BLOCK_BYTES, BLOCK = 1 << 20, 4096
+#: Bytes of pre-tokens and ids that an encoder remembers, about.
+MEMORY = 48 << 20
 
 
 @functools.lru_cache(2)
@@ -39,7 +43,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class MergeReplay:
     """Encoder for one vocabulary. Encoded pre-tokens are remembered; the memory is emptied when full."""
 
-    def __init__(self, path: str, pattern: str, cached: int = 1_000_000):
+    def __init__(self, path: str, pattern: str, memory: int = MEMORY):
         self.ranks = read_ranks(path)
         self.width = max(self.ranks.values()) + 1
         self.pattern = regex.compile(pattern)
@@ -52,7 +56,9 @@ class MergeReplay:
         self.risky = set(left[self.pair_ranks < left].tolist()) | set(right[self.pair_ranks < right].tolist())
         self.doubled = set(self.pair_ranks[left == right].tolist())
         self.known: dict[str, bytes] = {}
-        self.cached = cached
+        self.memory, self.used = memory, 0
+        self.tokens = {r: t for t, r in self.ranks.items()}
+        self.written: dict[str, tuple[int, str, bytes]] = {}
 
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of tokens, -1 where they don't merge."""
@@ -144,14 +150,34 @@ class MergeReplay:
 
     def __call__(self, texts: list) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
-        if len(self.known) > self.cached:
+        split = self._split(texts)
+        known = self.known
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+    def _split(self, texts: list) -> list[list[str]]:
+        """The pre-tokens of each text, all of them known."""
+        if self.used > self.memory:
             self.known.clear()
+            self.written.clear()
+            self.used = 0
         split = [self.pattern.findall(t) if t else [] for t in texts]
         missing = set().union(*split).difference(self.known)
         if missing:
             self._learn(missing)
-        known = self.known
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            self.used += sum(200 + 4 * len(w) + len(self.known[w]) for w in missing)
+        return split
+
+    def digests(self, texts: list) -> list[tuple[int, str, str]]:
+        """(ids, SHA-256 of the decimal ids joined by commas, SHA-256 of the bytes they decode to) of each text."""
+        out, written, tokens = [], self.written, self.tokens
+        for words in self._split(texts):
+            for w in set(words).difference(written):
+                ids = np.frombuffer(self.known[w], "<i4").tolist()
+                written[w] = (len(ids), ",".join(map(str, ids)), b"".join(map(tokens.__getitem__, ids)))
+                self.used += 300 + 10 * len(ids)
+            parts = [written[w] for w in words]
+            out.append((sum(p[0] for p in parts), hashlib.sha256(",".join([p[1] for p in parts]).encode()).hexdigest(), hashlib.sha256(b"".join([p[2] for p in parts])).hexdigest()))
+        return out
 
 
 @functools.lru_cache(1)
@@ -165,29 +191,42 @@ def _lists(values: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(values), "<i4")))
 
 
-def _passing(df: DataFrame, source: str, into: str, kind: T.DataType, worker) -> DataFrame:
-    """df with `into` made from `source` by worker(), which is called once in a task and gives a function of Arrow arrays."""
-    keep = [c for c in df.columns if c != into]
+def _blocks(batch: pa.RecordBatch, sizes: list[int]):
+    """Slices of at most BLOCK rows with about BLOCK_BYTES by the sizes of their rows; a longer row is alone."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and (total + n > BLOCK_BYTES or i - start >= BLOCK):
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
+def _passing(df: DataFrame, source: str, into: dict[str, T.DataType], worker) -> DataFrame:
+    """df with the columns `into` made from `source` by worker(), which is called once in a task and gives a function from an Arrow array to Arrow arrays."""
+    keep = [c for c in df.columns if c not in into]
 
     def run(batches):
         made = worker()
         for batch in batches:
             names = batch.schema.names
-            for i in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(i, BLOCK)
+            column = batch.column(names.index(source))
+            sizes = pc.list_value_length(column) if pa.types.is_list(column.type) else pc.binary_length(column)
+            for part in _blocks(batch, pc.fill_null(sizes, 0).to_pylist()):
                 own = [part.column(names.index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays(own + [made(part.column(names.index(source)))], names=keep + [into])
+                yield pa.RecordBatch.from_arrays(own + made(part.column(names.index(source))), names=[*keep, *into])
 
-    return df.mapInArrow(run, T.StructType([df.schema[c] for c in keep] + [T.StructField(into, kind)]))
+    return df.mapInArrow(run, T.StructType([df.schema[c] for c in keep] + [T.StructField(c, k) for c, k in into.items()]))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
     """df with the token ids of `text` as an array."""
     def worker():
         encoder = merge_replay(path, pattern)
-        return lambda column: _lists(encoder(column.to_pylist()))
+        return lambda column: [_lists(encoder(column.to_pylist()))]
 
-    return _passing(df, text, into, T.ArrayType(T.IntegerType()), worker)
+    return _passing(df, text, {into: T.ArrayType(T.IntegerType())}, worker)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -195,15 +234,26 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     def worker():
         tokens = {r: t for t, r in read_ranks(path).items()}
         get = tokens.get
-        return lambda column: pa.array([b"".join([get(i, b"") for i in x] if x else []) for x in column.to_pylist()], pa.binary())
+        return lambda column: [pa.array([b"".join([get(i, b"") for i in x] if x else []) for x in column.to_pylist()], pa.binary())]
+
+    return _passing(df, ids, {into: T.BinaryType()}, worker)
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """df with n_tokens, ids_sha256 and decoded_sha256 of `text`: encoded and decoded again in one step, without arrays of ids."""
+    def worker():
+        encoder = merge_replay(path, pattern)
+
+        def made(column):
+            rows = encoder.digests(column.to_pylist())
+            return [pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[i] for r in rows], pa.string()) for i in (1, 2)]]
+        return made
 
-    return _passing(df, ids, into, T.BinaryType(), worker)
+    return _passing(df, text, {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}, worker)
 
 
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, path, public_tokenizers.PATTERN).drop("text"), path)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(docs, path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
