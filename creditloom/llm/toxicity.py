@@ -31,12 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.llm import trees
-from creditloom.llm.common import query, stash, table, with_column_batches
+from creditloom.llm.common import query, stash, table, unstash, with_column_batches
 
 ORDER = 6
 DISCOUNT = 0.75  # of the shared lower orders; the class orders estimate theirs
-#: N-grams that fit_ratio() gathers for look-up at most; score() joins with the whole tables instead.
-MAX_ENTRIES = 2_000_000
 #: Frequent training words whose ratios are broadcast at most; the others are joined.
 COMMON = 200_000
 #: Copies of the rows of contexts of one or two letters, which stand in a large share of the words.
@@ -83,10 +81,11 @@ def top_grams(words: DataFrame) -> DataFrame:
     return letters(words, "toxic", "ordinary").groupBy("ctx", "letter").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def shared_backoff(top: DataFrame) -> DataFrame:
+def shared_backoff(top: DataFrame, written: list | None = None) -> DataFrame:
     """(ctx, letter, shared): probability of the letter in the next lower order, by continuation counts over both classes.
 
     In order k the count of an n-gram is the number of different letters seen before it in order k + 1.
+    `written` gets the tables that were written on the way.
     """
     grams = top.select("ctx", "letter")
     levels = []
@@ -108,6 +107,8 @@ def shared_backoff(top: DataFrame) -> DataFrame:
                  .select("ctx", "letter", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("shared")) / F.col("total")).alias("shared")))
         known = stash(mixed, "letters")
         parts.append(known)
+    if written is not None:
+        written += parts
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -116,13 +117,15 @@ def shared_backoff(top: DataFrame) -> DataFrame:
 
 
 def discounts(top: DataFrame, c: str) -> list[float]:
-    """Discounts of n-grams seen once, twice and more often, from the counts of counts (modified Kneser-Ney)."""
+    """Discounts of n-grams seen once, twice and more often, from the counts of counts (modified Kneser-Ney).
+
+    Where these are too sparse for the estimate, or it doesn't rise with the count, all three are DISCOUNT."""
     n = top.agg(*[F.count(F.when(F.col(c) == k, 1)) for k in (1, 2, 3, 4)]).first()
-    if not n[0]:
+    if not all(n):
         return [DISCOUNT] * 3
     y = n[0] / (n[0] + 2 * n[1])
-    found = [k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else DISCOUNT for k in (1, 2, 3)]
-    return [min(max(d, 0.1), k - 0.02) for k, d in zip((1, 2, 3), found)]
+    found = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
+    return found if 0 < found[0] <= found[1] <= found[2] else [DISCOUNT] * 3
 
 
 @dataclass
@@ -153,7 +156,8 @@ class Ratio:
 def ratio_table(words: DataFrame) -> DataFrame:
     """(ctx, letter, n, ratio, backoff) of every n-gram seen in words (word, toxic, ordinary)."""
     top = stash(top_grams(words), "letter-grams")
-    shared = shared_backoff(top)
+    written = [top]
+    shared = shared_backoff(top, written)
     w = Window.partitionBy("ctx")  # at most as many rows as there are letters
     table = top.join(shared, ["ctx", "letter"]).select("*", *[F.sum(c).over(w).alias(f"sum_{c}") for c in ("toxic", "ordinary")])
 
@@ -170,8 +174,11 @@ def ratio_table(words: DataFrame) -> DataFrame:
         seen = F.when(F.col(f"sum_{c}") > 0, (F.col(c) - cut(c)) / F.col(f"sum_{c}")).otherwise(0.0)
         return seen + weight(c) * F.col("shared")
 
-    return stash(table.select("ctx", "letter", (F.col("toxic") + F.col("ordinary")).alias("n"), F.log(prob("toxic") / prob("ordinary")).cast("float").alias("ratio"),
+    out = stash(table.select("ctx", "letter", (F.col("toxic") + F.col("ordinary")).alias("n"), F.log(prob("toxic") / prob("ordinary")).cast("float").alias("ratio"),
                               F.log(weight("toxic") / weight("ordinary")).cast("float").alias("backoff")), "ratios")
+    for x in written:
+        unstash(x)
+    return out
 
 
 def _frequent(counted: DataFrame, most: int) -> DataFrame:
@@ -183,22 +190,22 @@ def _frequent(counted: DataFrame, most: int) -> DataFrame:
     return counted.where(F.col("n") >= least)
 
 
-def fit_ratio(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Ratio:
-    """The ratio tables of models counted over docs (text, toxic), gathered for look-up: of more than max_entries n-grams the frequent ones."""
-    kept = _frequent(ratio_table(stash(word_counts(docs), "word-counts")), max_entries)
+def fit_ratio(docs: DataFrame) -> Ratio:
+    """The ratio tables of models counted over a small sample of docs (text, toxic), gathered whole for look-up; score() joins with them instead."""
+    kept = ratio_table(stash(word_counts(docs), "word-counts"))
     contexts = kept.groupBy("ctx").agg(F.first("backoff").alias("backoff"))
     return Ratio(kept.select(F.concat("ctx", "letter").alias("gram"), "ratio").toArrow(), contexts.toArrow())
 
 
 def word_ratios(words: DataFrame, ratios: DataFrame) -> DataFrame:
-    """(word, ratio) of each row of words: its letters are joined with the whole table of ratios, those unseen with the weights of their contexts."""
+    """(word, ratio) of each row of words: its letters meet their contexts, which hold the ratios of the letters seen there and the weight for all others."""
     short = F.length("ctx") <= 2
     copies = F.explode(F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
     at = letters(words, "word").withColumn("salt", F.when(short, F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")).otherwise(0))
-    grams = ratios.select("ctx", "letter", "ratio", copies)
-    contexts = ratios.groupBy("ctx").agg(F.first("backoff").alias("backoff")).select("ctx", "backoff", copies)
-    found = at.join(grams.hint("merge"), ["ctx", "letter", "salt"], "left").join(contexts.hint("merge"), ["ctx", "salt"], "left")
-    return found.groupBy("word").agg(F.sum(F.coalesce("ratio", "backoff", F.lit(0.0)).cast("double")).alias("ratio"))
+    # as many entries as there are letters, at most
+    contexts = ratios.groupBy("ctx").agg(F.map_from_entries(F.collect_list(F.struct("letter", "ratio"))).alias("seen"), F.first("backoff").alias("backoff")).select("ctx", "seen", "backoff", copies)
+    found = at.join(contexts.hint("merge"), ["ctx", "salt"], "left")
+    return found.groupBy("word").agg(F.sum(F.coalesce(F.element_at("seen", F.col("letter")), "backoff", F.lit(0.0)).cast("double")).alias("ratio"))
 
 
 @dataclass
@@ -230,10 +237,11 @@ def _parts(text: str | None, known: dict) -> tuple:
     return len(words), sum(words.values()), sum((len(w) + 1) * t for w, t in words.items()), total, excess, heapq.nlargest(max(BEST), r), rest
 
 
-def measured(docs: DataFrame, words: DataFrame, ratios: DataFrame, common: int | None = None) -> DataFrame:
+def measured(docs: DataFrame, words: DataFrame, ratios: DataFrame, common: int | None = None, scratch: list | None = None) -> DataFrame:
     """docs without text, with the MEASURES of the text as column x, normalised by letters or words.
 
     words are those counted for ratios; the most frequent of them are broadcast (COMMON at most), all others are joined.
+    `scratch` gets the tables that the result reads.
     """
     counted = words.select("word", (F.col("toxic") + F.col("ordinary")).alias("n"))
     frequent = _frequent(counted, COMMON if common is None else common)
@@ -253,6 +261,8 @@ def measured(docs: DataFrame, words: DataFrame, ratios: DataFrame, common: int |
     parts = stash(docs.mapInArrow(run, f"{schema}, {PARTS}").withColumn("row", F.monotonically_increasing_id()), "text-parts")
     rest = parts.select("row", F.explode("rest").alias("at")).select("row", "at.word", "at.times")
     scored = stash(word_ratios(rest.select("word").distinct(), ratios), "word-ratios")
+    if scratch is not None:
+        scratch += [parts, scored]
     k = max(BEST)
     joined = (rest.join(scored.hint("merge"), "word").groupBy("row")
               .agg(F.sum(F.col("ratio") * F.col("times")).alias("more"), F.sum(F.greatest(F.col("ratio") - TELLING, F.lit(0.0))).alias("more_excess"), F.collect_list("ratio").alias("others")))
@@ -291,11 +301,16 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     chosen = (F.col("fold") == 0) & (F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     words = stash(word_counts(train.where(~chosen)), "word-counts")
     fit = train.where(chosen).select("doc_id", "text", "toxic")
-    rows = measured(fit, words, ratio_table(words)).select("doc_id", "toxic", "x").toPandas().sort_values("doc_id")
+    ratios, scratch = ratio_table(words), []
+    rows = measured(fit, words, ratios, scratch=scratch).select("doc_id", "toxic", "x").toPandas().sort_values("doc_id")
+    for x in [ratios, *scratch]:
+        unstash(x)
     curve = trees.fit(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float), list(MEASURES), trees=40, depth=3)
 
     every = words.unionByName(word_counts(fit)).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    words = stash(every, "word-counts")
+    before, words = words, stash(every, "word-counts")
+    unstash(before)
+    unstash(train)
     scored = _probability(measured(docs, words, ratio_table(words)), curve)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 

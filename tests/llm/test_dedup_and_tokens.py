@@ -171,9 +171,8 @@ def check_sequences(rows, capacity):
 def test_pieces_are_the_tokenizers(spark, sf, odd):
     path = public_tokenizers.path(packing.VOCABULARY)
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(odd.where("doc_id is not null and doc_id <> 5").selectExpr("doc_id + 1000000 as doc_id", "text"))
-    docs = docs.unionByName(spark.createDataFrame([(2_000_000, "Don't stop.,. Îİ ǅ  x　y I'VE, a.b.c., É́. x, <|endoftext|>. ΟΔΟΣ ΟΔΟΣ. 12.5. ́., ...")], "doc_id long, text string"))
+    docs = docs.unionByName(spark.createDataFrame([(2_000_000, "H\u0331 T\u0308x W\u030a J\u030c a<|startoftext|>B <|STARTOFTEXT|> Don't stop.,. Îİ ǅ  x　y I'VE, a.b.c., É́. x, <|endoftext|>. ΟΔΟΣ ΟΔΟΣ. 12.5. ́., ...")], "doc_id long, text string"))
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     ids = {i: whole.encode(t, add_special_tokens=False).ids + [1] for i, t in texts.items()}
     want = {(i, k // 4096): (k, len(x[k:k + 4096]), zlib.crc32(np.array(x[k:k + 4096], "<u4").tobytes())) for i, x in ids.items() for k in range(0, len(x), 4096)}
@@ -240,7 +239,6 @@ def test_kneser_ney_tables(spark):
         assert 0 < r.s <= 1 + 1e-9
     ratio = toxicity.fit_ratio(docs)
     assert ratio.word("nastier") > 0.5 > ratio.word("nice") and ratio.word("nasty") > ratio.word("other") > ratio.word("wording")
-    assert len(toxicity.fit_ratio(docs, max_entries=40).grams) <= 40
 
 
 def test_toxicity_held_out(spark, sf):
@@ -262,16 +260,15 @@ def test_toxicity_odd_rows(spark, odd, no_documents):
 
 
 def test_toxicity_keeps_all_ngrams(spark, sf, monkeypatch):
-    """Scores are the same however few n-grams may be gathered and words broadcast, and words score as by look-up in the whole tables."""
+    """Scores are the same however few words are broadcast, and words score as by look-up in the whole tables."""
     path = sf.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
     whole = sorted((r.doc_id, r.score) for r in toxicity.score(docs, labels).collect())
-    monkeypatch.setattr(toxicity.fit_ratio, "__defaults__", (40,))
     monkeypatch.setattr(toxicity, "COMMON", 3, raising=False)
     few = sorted((r.doc_id, r.score) for r in toxicity.score(docs, labels).collect())
     assert [i for i, _ in few] == [i for i, _ in whole] and np.allclose([v for _, v in few], [v for _, v in whole])
     words = toxicity.word_counts(docs.join(labels, "doc_id").select("text", "toxic")).persist()
-    ratio = toxicity.fit_ratio(docs.join(labels, "doc_id").select("text", "toxic"), max_entries=10**9)
+    ratio = toxicity.fit_ratio(docs.join(labels, "doc_id").select("text", "toxic"))
     texts = [(1, "Unseen wordings and other words, words é你好 end"), (2, ""), (3, None), (4, "the")]
     for r in toxicity.measured(spark.createDataFrame(texts, "doc_id long, text string"), words, toxicity.ratio_table(words)).collect():
         found = Counter(re.findall(r"[^\W\d_]+", (texts[r.doc_id - 1][1] or "").lower()))
