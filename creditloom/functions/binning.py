@@ -38,10 +38,11 @@ def steps_below(c: Column, edges: Column, n: int) -> Column:
     return total
 
 
-def slice_index(c: Column, bounds: Column, n: int) -> Column:
-    """How many of up to n sorted array bounds are <= c, by binary search; deterministic, so two passes agree."""
+def slice_index(c: Column, bounds: Column, n: int, strict: bool = False) -> Column:
+    """How many of up to n sorted array bounds are <= c (< c if strict), by binary search; deterministic, so two passes agree."""
     steps = [1 << k for k in reversed(range(max(n, 1).bit_length()))]
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(c >= F.get(bounds, at + step - 1), at + step).otherwise(at))
+    passed = (lambda b: c > b) if strict else (lambda b: c >= b)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(passed(F.get(bounds, at + step - 1)), at + step).otherwise(at))
 
 
 def quantile_bin(c: Column, edges: Column, n_quantiles: int, open_ends: bool = False) -> Column:

@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from .. import constants as K
-from ..functions.binning import steps_at_or_below
+from ..functions.binning import slice_index, steps_at_or_below
 from ..session import cut_lineage
+from . import cox
 from .prefix import quantiles, running_sums
 
 c = F.col
-#: Tied events that one numpy block takes.
-TIE_BLOCK = 1_000_000
 
 
 def life_table(df: DataFrame, by: Sequence[str] = (), duration: str = "duration_days", event: str = "event") -> DataFrame:
@@ -59,79 +56,6 @@ def tier_by_percentile(df: DataFrame, hazard: str, low: float, high: float, labe
 
 
 # --- Cox ---------------------------------------------------------------------
-def _moments(features: list[str], mean: list[float], scale: list[float], beta: list[float]):
-    """Per-partition sums per duration: numpy inside the task, one vector per duration."""
-    p = len(features)
-    upper = np.triu_indices(p)
-    mu, sd, b = np.array(mean), np.array(scale), np.array(beta)
-    width = 1 + p + len(upper[0])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x = (pdf[features].to_numpy(float) - mu) / sd
-            e = pdf["event"].to_numpy(float)
-            w = np.exp(x @ b)
-            block = np.concatenate([np.ones((len(x), 1)), x, x[:, upper[0]] * x[:, upper[1]]], axis=1) * w[:, None]
-            full = np.concatenate([block, block * e[:, None], x * e[:, None], e[:, None], (x @ b * e)[:, None]], axis=1)
-            keys, inv = np.unique(pdf["duration"].to_numpy(), return_inverse=True)
-            sums = np.zeros((len(keys), full.shape[1]))
-            np.add.at(sums, inv, full)
-            for k, v in zip(keys, sums):
-                acc[int(k)] = acc[int(k)] + v if int(k) in acc else v
-        if acc:
-            yield pd.DataFrame({"duration": list(acc), "v": [v.tolist() for v in acc.values()]})
-
-    return run, width
-
-
-def _add(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"duration": [pdf["duration"].iloc[0]], "v": [np.sum(np.stack(pdf["v"].to_list()), axis=0).tolist()]})
-
-
-_MOMENTS = T.StructType([T.StructField("duration", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType()))])
-
-
-def _tied_sums(s0: float, e0: float, d: float) -> np.ndarray:
-    """Sums over the d tied events of 1/den, phi/den, 1/den^2, phi/den^2, phi^2/den^2 and log(den), den = s0 - phi*e0, block by block."""
-    n, total = int(d), np.zeros(6)
-    for first in range(0, n, TIE_BLOCK):
-        phi = np.arange(first, min(n, first + TIE_BLOCK)) / n
-        den = s0 - phi * e0
-        total += [(1 / den).sum(), (phi / den).sum(), (1 / den ** 2).sum(), (phi / den ** 2).sum(), (phi ** 2 / den ** 2).sum(), np.log(den).sum()]
-    return total
-
-
-def _newton_terms(rows: list, p: int, width: int):
-    """Log-likelihood, gradient and information from the per-duration sums (Efron ties)."""
-    upper = np.triu_indices(p)
-    rows = sorted(rows, key=lambda r: -r["duration"])
-    m = np.array([r["v"] for r in rows])
-    risk = np.cumsum(m[:, :width], axis=0)
-
-    def square(v):
-        s = np.zeros((p, p))
-        s[upper] = v
-        return s + s.T - np.diag(np.diag(s))
-
-    ll, grad, info = 0.0, np.zeros(p), np.zeros((p, p))
-    for r, v in zip(risk, m):
-        ev, xe, d, xb = v[width:2 * width], v[2 * width:2 * width + p], v[2 * width + p], v[2 * width + p + 1]
-        if d <= 0:
-            continue
-        a0, a1, b0, b1, b2, logs = _tied_sums(r[0], ev[0], d)
-        s1, e1 = r[1:1 + p], ev[1:1 + p]
-        ll += xb - logs
-        grad += xe - (s1 * a0 - e1 * a1)
-        cross = np.outer(s1, e1)
-        info += square(r[1 + p:]) * a0 - square(ev[1 + p:]) * a1 - (np.outer(s1, s1) * b0 - (cross + cross.T) * b1 + np.outer(e1, e1) * b2)
-    durations = [r["duration"] for r in rows][::-1]
-    hazard = np.where(m[:, 2 * width + p] > 0, m[:, 2 * width + p] / risk[:, 0], 0.0)[::-1]
-    return ll, grad, info, durations, hazard
-
-
 @dataclass
 class CoxModel:
     """Coefficients on the original scale, means, and the baseline cumulative hazard steps."""
@@ -162,21 +86,17 @@ class CoxModel:
         for m, d in zip(K.HORIZON_MONTHS, K.HORIZON_DAYS):
             s = F.exp(c("hazard_ratio") * -self.base_at(d))
             out[f"survival_{m}mo"], out[f"pd_{m}mo"] = F.round(s, 4), F.round(1 - s, 4)
-        days, cum = np.array(self.durations, float), np.array(self.cumulative)
-
-        @F.pandas_udf("double")
-        def median_months(h: pd.Series) -> pd.Series:
-            i = np.searchsorted(cum, np.log(2.0) / h.to_numpy(), side="left")
-            v = np.where(i < len(days), days[np.minimum(i, len(days) - 1)] / K.DAYS_PER_MONTH, np.nan)
-            return pd.Series(np.round(v, 1)).where(i < len(days), None)
-
-        out["median_survival_months"] = median_months("hazard_ratio")
+        # the first day by which half of such loans have failed: a binary search in the steps, which are model parameters
+        steps = df.sparkSession.createDataFrame([(list(map(float, self.durations)), list(map(float, self.cumulative)))], "days array<double>, cum array<double>")
+        df = df.withColumns({"_days": steps.select("days").scalar(), "_cum": steps.select("cum").scalar()})
+        step = slice_index(F.log(F.lit(2.0)) / c("hazard_ratio"), c("_cum"), len(self.durations), strict=True)
+        out["median_survival_months"] = F.round(F.get("_days", step) / K.DAYS_PER_MONTH, 1)
         if self.thresholds:
             lo, hi = self.thresholds
             out["risk_tier"] = F.when(c("hazard_ratio") >= hi, "early_default").when(c("hazard_ratio") >= lo, "late_default").otherwise("low_risk")
         else:
             out["risk_tier"] = F.lit("unknown")
-        return df.withColumns(out)
+        return df.withColumns(out).drop("_days", "_cum")
 
     def coefficients(self, spark, top: int = 15) -> DataFrame:
         """Largest coefficients by size with hazard ratio, z and significance mark."""
@@ -188,48 +108,51 @@ class CoxModel:
 
 def fit_cox(df: DataFrame, features: Sequence[str] = K.SURVIVAL_FEATURES, duration: str = "duration_days", event: str = "event",
             penalizer: float = 0.1, max_iter: int = 25, tol: float = 1e-7) -> CoxModel:
-    """Newton steps on the penalised partial likelihood.
-
-    Each step is one pass: tasks reduce their rows to one vector per duration day,
-    Spark adds the vectors, and the driver solves a p x p system from at most one
-    vector per calendar day. No row leaves the cluster."""
+    """Newton steps on the penalised partial likelihood (see `cox`). No row leaves the cluster."""
     features = list(features)
-    data = df.select(*[c(f).cast("double").alias(f) for f in features], c(duration).cast("bigint").alias("duration"),
-                     c(event).cast("int").alias("event")).dropna().cache()
-    try:
-        st = data.agg(F.count("*").alias("n"), *[F.avg(f).alias(f"m_{f}") for f in features],
-                      *[F.stddev_samp(f).alias(f"s_{f}") for f in features]).first()
-        n, p = st["n"], len(features)
-        mean = [st[f"m_{f}"] for f in features]
-        scale = [st[f"s_{f}"] or 1.0 for f in features]
-        beta, best = np.zeros(p), None
-
-        def terms(b):
-            run, width = _moments(features, mean, scale, list(b))
-            rows = data.mapInPandas(run, _MOMENTS).groupBy("duration").applyInPandas(_add, _MOMENTS).collect()
-            ll, g, h, dur, haz = _newton_terms(rows, p, width)
-            return ll - n * penalizer * 0.5 * (b @ b), g - n * penalizer * b, h + n * penalizer * np.eye(p), dur, haz
-
-        cur = terms(beta)
-        for _ in range(max_iter):
-            step = np.linalg.solve(cur[2], cur[1])
-            size, nxt = 1.0, None
-            while size > 1e-3:
-                nxt = terms(beta + size * step)
-                if nxt[0] >= cur[0] - 1e-9:
-                    break
-                size /= 2
-            done = abs(nxt[0] - cur[0]) < tol * (1 + abs(cur[0]))
-            beta, cur = beta + size * step, nxt
-            best = cur
-            if done:
-                break
-        cov = np.linalg.inv(best[2])
-    finally:
-        data.unpersist()
-    coef = {f: float(b / s) for f, b, s in zip(features, beta, scale)}
-    err = {f: float(np.sqrt(v) / s) for f, v, s in zip(features, np.diag(cov), scale)}
-    return CoxModel(coef, dict(zip(features, mean)), err, list(best[3]), list(np.cumsum(best[4])))
+    raw = df.select(*[c(f).cast("double").alias(f) for f in features], c(duration).cast("bigint").alias("duration"),
+                    c(event).cast("int").alias("event")).dropna()
+    st = raw.agg(F.count("*").alias("n"), *[F.avg(f).alias(f"m_{f}") for f in features],
+                 *[F.stddev_samp(f).alias(f"s_{f}") for f in features]).first()
+    mean, scale = [st[f"m_{f}"] for f in features], [st[f"s_{f}"] or 1.0 for f in features]
+    ridge = st["n"] * penalizer
+    data = cut_lineage(cox.standardised(raw, features, mean, scale))
+    now = cox.likelihood(data, np.zeros(len(features)), ridge)
+    score, info = cox.score_and_information(data, now, ridge)
+    for _ in range(max_iter):
+        step, size = np.linalg.solve(info, score), 1.0
+        nxt = cox.likelihood(data, now.beta + step, ridge)
+        while nxt.value < now.value - 1e-9 and size > 1e-3:
+            size /= 2
+            nxt = cox.likelihood(data, now.beta + size * step, ridge)
+        done = abs(nxt.value - now.value) < tol * (1 + abs(now.value))
+        now = nxt
+        score, info = cox.score_and_information(data, now, ridge)
+        if done:
+            break
+    coef = {f: float(b / s) for f, b, s in zip(features, now.beta, scale)}
+    err = {f: float(np.sqrt(v) / s) for f, v, s in zip(features, np.diag(np.linalg.inv(info)), scale)}
+    durations, cumulative = cox.baseline(now)
+    return CoxModel(coef, dict(zip(features, mean)), err, durations, cumulative)
+
+
+def score_equations(model: CoxModel, df: DataFrame, duration: str = "duration_days", event: str = "event", penalizer: float = 0.1) -> DataFrame:
+    """(feature, residual) of the penalised score at a fitted model, per loan and standard deviation: 0 at the optimum.
+
+    From the definition, in SQL functions: each loan's feature times its event less the hazard of its days, Efron ties."""
+    features = list(model.coef)
+    rows = df.select(*[c(f).cast("double").alias(f) for f in features], c(duration).cast("bigint").alias("t"), c(event).cast("int").alias("e")).dropna()
+    rows = cut_lineage(rows.withColumn("w", model.hazard_ratio()))
+    later = W.orderBy(F.desc("t"))  # a row a calendar day
+    days = rows.groupBy("t").agg(F.sum("w").alias("own"), F.sum(c("w") * c("e")).alias("tied"), F.sum("e").alias("d")).withColumn("risk", F.sum("own").over(later))
+    phi = F.transform(F.sequence(F.lit(1), F.greatest("d", F.lit(1))), lambda k: (k - 1) / F.greatest("d", F.lit(1)))
+    each = lambda f: F.when(c("d") > 0, F.aggregate(phi, F.lit(0.0), lambda s, x: s + f(x) / (c("risk") - x * c("tied")))).otherwise(0.0)
+    days = days.select("t", each(lambda x: F.lit(1.0)).alias("h"), each(lambda x: x).alias("h_tied")).withColumn("hazard", F.sum("h").over(W.orderBy("t")))
+    left = rows.join(F.broadcast(days), "t").withColumn("left", c("e") - c("w") * (c("hazard") - c("e") * c("h_tied")))
+    n = F.count("*")
+    cells = [F.struct(F.lit(f).alias("feature"), (F.try_divide(F.sum(c("left") * (c(f) - float(model.mean[f]))), n * F.coalesce(F.nullif(F.stddev_samp(f), F.lit(0.0)), F.lit(1.0)))
+             - penalizer * float(model.coef[f]) * F.coalesce(F.nullif(F.stddev_samp(f), F.lit(0.0)), F.lit(1.0))).alias("residual")) for f in features]
+    return left.agg(F.array(*cells).alias("a")).select(F.inline("a"))
 
 
 def fit_hazard_tiers(model: CoxModel, train: DataFrame) -> CoxModel:
