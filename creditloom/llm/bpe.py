@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import struct
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -29,9 +30,9 @@ from creditloom.llm.common import query, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of text whose pre-tokens are merged together, about, and documents at most.
-BLOCK_BYTES, BLOCK = 1 << 20, 4096
+BLOCK_BYTES, BLOCK = 4 << 20, 4096
 #: Bytes of pre-tokens and ids that an encoder remembers, about.
-MEMORY = 48 << 20
+MEMORY = 192 << 20
 
 
 @functools.lru_cache(2)
@@ -150,33 +151,35 @@ class MergeReplay:
 
     def __call__(self, texts: list) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
-        split = self._split(texts)
+        split, _ = self._split(texts)
         known = self.known
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
-    def _split(self, texts: list) -> list[list[str]]:
-        """The pre-tokens of each text, all of them known."""
+    def _split(self, texts: list) -> tuple[list[list[str]], set[str]]:
+        """The pre-tokens of each text, and the distinct ones, all of them known."""
         if self.used > self.memory:
             self.known.clear()
             self.written.clear()
             self.used = 0
         split = [self.pattern.findall(t) if t else [] for t in texts]
-        missing = set().union(*split).difference(self.known)
+        words = set().union(*split)
+        missing = words.difference(self.known)
         if missing:
             self._learn(missing)
             self.used += sum(200 + 4 * len(w) + len(self.known[w]) for w in missing)
-        return split
+        return split, words
 
     def digests(self, texts: list) -> list[tuple[int, str, str]]:
         """(ids, SHA-256 of the decimal ids joined by commas, SHA-256 of the bytes they decode to) of each text."""
         out, written, tokens = [], self.written, self.tokens
-        for words in self._split(texts):
-            for w in set(words).difference(written):
-                ids = np.frombuffer(self.known[w], "<i4").tolist()
-                written[w] = (len(ids), ",".join(map(str, ids)), b"".join(map(tokens.__getitem__, ids)))
-                self.used += 300 + 10 * len(ids)
-            parts = [written[w] for w in words]
-            out.append((sum(p[0] for p in parts), hashlib.sha256(",".join([p[1] for p in parts]).encode()).hexdigest(), hashlib.sha256(b"".join([p[2] for p in parts])).hexdigest()))
+        split, distinct = self._split(texts)
+        for w in distinct.difference(written):
+            ids = struct.unpack(f"<{len(self.known[w]) // 4}i", self.known[w])
+            written[w] = (len(ids), ",".join(map(str, ids)), b"".join(map(tokens.__getitem__, ids)))
+            self.used += 250 + 10 * len(ids)
+        for words in split:
+            counts, decimals, raw = zip(*map(written.__getitem__, words)) if words else ((), (), ())
+            out.append((sum(counts), hashlib.sha256(",".join(decimals).encode()).hexdigest(), hashlib.sha256(b"".join(raw)).hexdigest()))
         return out
 
 
