@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.operators import labels, survival
+from creditloom.operators import isotonic, labels, models, survival
+from creditloom.operators.rules import rule_composite
 
 from . import frames as fr
 from .base_sql import AS_OF, SPLIT, sql
@@ -48,3 +49,57 @@ def cox_score_equations(spark, sf):
     m = survival.fit_cox(train)
     n = train.agg(F.count("*")).scalar()
     return survival.score_equations(m, train).select("feature", n.alias("n"), (F.round("residual", 6) + 0.0).alias("residual"))
+
+
+# --- logistic fits -------------------------------------------------------------------
+def _logit_newton(steps: int, features: int) -> str:
+    """Coefficients of models `m` (id, fold left out or -1, inverse penalty or 0) over cells `ce` (fold, x1, x2, n, bad), from 0."""
+    parts = ["be0 as materialized (select id, 0e0 as b0, 0e0 as b1, 0e0 as b2 from m)"]
+    two = features == 2
+    for k in range(steps):
+        parts += [
+            f"""mu{k} as (select id, c, n, bad, x1, x2, b0, b1, b2, 1/(1+exp(-(b0+b1*x1+b2*x2))) as p from be{k} join m using (id) join ce on ce.fold<>m.fold)""",
+            f"""su{k} as (select id, any_value(b0) as b0, any_value(b1) as b1, any_value(b2) as b2, any_value(case when c>0 then 1/c else 0 end) as r, sum(bad-n*p) as g0, sum((bad-n*p)*x1) as g1, sum((bad-n*p)*x2) as g2,
+ sum(n*p*(1-p)) as h00, sum(n*p*(1-p)*x1) as h01, sum(n*p*(1-p)*x2) as h02, sum(n*p*(1-p)*x1*x1) as h11, sum(n*p*(1-p)*x1*x2) as h12, sum(n*p*(1-p)*x2*x2) as h22 from mu{k} group by id)""",
+            f"""so{k} as (select id, b0, b1, b2, g0, g1-r*b1 as g1, g2-r*b2 as g2, h00, h01, {'h02' if two else '0e0'} as h02, h11+r as h11, {'h12' if two else '0e0'} as h12, {'h22+r' if two else '1e0'} as h22 from su{k})""",
+            f"""co{k} as (select *, h11*h22-h12*h12 as c00, h02*h12-h01*h22 as c01, h01*h12-h02*h11 as c02, h00*h22-h02*h02 as c11, h01*h02-h00*h12 as c12, h00*h11-h01*h01 as c22, h00*c00+h01*c01+h02*c02 as det from so{k})""",
+            f"""be{k + 1} as materialized (select id, b0+(c00*g0+c01*g1+c02*g2)/det as b0, b1+(c01*g0+c11*g1+c12*g2)/det as b1, b2+(c02*g0+c12*g1+c22*g2)/det as b2 from co{k})"""]
+    return ",\n".join(parts)
+
+
+_PENALTIES = "(0.001),(0.01),(0.1),(1.0),(10.0)"
+
+
+@query("logit_grid", sql("""select c as c_value, round((select avg(auc) from au where au.c=m.c),6) as mean_auc, round(b0,6) as b0, round(b1,6) as b1, round(b2,6) as b2 from be12 join m using (id) where fold=-1""", "sc", plus=f"""
+ce as materialized (select cast(application_id % 3 as integer) as fold, cast(qi_missing as double) as x1, coalesce(fico,650)/100 as x2, cast(count(*) as double) as n, cast(sum(is_bad) as double) as bad from sc group by 1,2,3),
+m as materialized (select cast(row_number() over () as integer) as id, fold, c from (values (-1),(0),(1),(2)) f(fold), (values {_PENALTIES}) p(c)),
+{_logit_newton(12, 2)},
+he as (select m.c, ce.fold, b0+b1*x1+b2*x2 as s, sum(bad) as pos, sum(n-bad) as neg from be12 join m using (id) join ce on ce.fold=m.fold group by 1,2,3),
+cu as (select *, sum(neg) over (partition by c, fold order by s) as cneg, sum(pos) over (partition by c, fold) as np, sum(neg) over (partition by c, fold) as nn from he),
+au as (select c, fold, sum(pos*(cneg-neg)+0.5e0*pos*neg)/(max(np)*max(nn)) as auc from cu group by 1,2)"""))
+def logit_grid(spark, sf):
+    """All penalties and folds of a cross-validated logistic fit on two features."""
+    df = fr.scored_table(spark, sf).select("is_bad", "qi_missing", (c("application_id") % 3).cast("int").alias("fold"), (F.coalesce("fico", F.lit(650.0)) / 100).alias("fico"))
+    rows = [(v, auc, m.intercept, *m.coef.values()) for auc, v, m in models.logit_grid(df, ["qi_missing", "fico"], fold="fold")]
+    return fr.rounded(spark.createDataFrame(rows, "c_value double, mean_auc double, b0 double, b1 double, b2 double"))
+
+
+@query("rule_logit", sql("select round(b0,6) as intercept, round(b1,6) as slope from be14", "sc", plus=f"""
+ce as materialized (select -2 as fold, rule_score as x1, 0e0 as x2, cast(count(*) as double) as n, cast(sum(is_bad) as double) as bad from sc where signing_date < timestamp '{SPLIT}' group by 2),
+m as materialized (select 1 as id, -1 as fold, 1e0 as c),
+{_logit_newton(14, 1)}"""))
+def rule_logit(spark, sf):
+    """Rule composite to PD, fitted on the training period."""
+    train, _ = labels.temporal_split(rule_composite(fr.feature_table(spark, sf)), SPLIT)
+    m = models.fit_rule_pd(train)
+    return fr.rounded(spark.createDataFrame([(m.intercept, m.coef["rule_score"])], "intercept double, slope double"))
+
+
+@query("isotonic_calibration", sql("""select s as score, round(y,6) as calibrated from (select i, s, max(low) as y from (select a.i as j, b.i as i, b.s, min((b.cp-a.cp+a.p)/(b.cn-a.cn+a.n)) over (partition by a.i order by b.i desc) as low from cu a join cu b on b.i>=a.i) t group by i, s) t""", "decided", plus=f"""
+h as (select round(pd,3) as s, cast(sum(is_bad) as double) as p, cast(count(*) as double) as n from decided group by 1),
+cu as materialized (select s, p, n, row_number() over w as i, sum(p) over w as cp, sum(n) over w as cn from h window w as (order by s))"""))
+def isotonic_calibration(spark, sf):
+    """Isotonic fit of the label on the PD, at every distinct score, against the max-min formula."""
+    df = fr.scored_table(spark, sf).select("is_bad", F.round("pd", 3).alias("score"))
+    m = isotonic.fit_isotonic(df, "score", n_slices=16)
+    return m.apply(df.select("score").distinct(), "score", "y").select("score", F.round("y", 6).alias("calibrated"))

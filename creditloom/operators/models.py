@@ -1,7 +1,7 @@
 """PD models: logistic, rule, boosted, blended; calibration; segment multiplier.
 
-Fitting uses pyspark.ml on cached frames; fitted parameters are small plain data,
-and linear scoring is a column expression.
+Logistic fits are Newton steps over distinct cells (`logit`), isotonic fits pool score slices (`isotonic`), trees are
+pyspark.ml's; fitted parameters are small plain data, and linear scoring is a column expression.
 """
 
 from __future__ import annotations
@@ -9,18 +9,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.binning import lerp
 from ..functions.clean import upper_text
+from . import logit
 from .features import scorecard_features
+from .isotonic import IsotonicSteps, fit_isotonic
 from .metrics import calibration, ranking, with_quantile_bin
 from .rules import rule_composite
 from .woe import WoeModel, fit_woe
@@ -100,49 +99,36 @@ def folded(df: DataFrame, id_col: str, k: int, name: str = "fold", salt: int = 0
     return df.withColumn(name, F.pmod(F.xxhash64(F.lit(salt), c(id_col)), F.lit(k)).cast("int"))
 
 
-def _vector(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    cols = [c(f).cast("double").alias(f) for f in features]
-    keep = [k for k in ("fold", "weight") if k in df.columns]
-    flat = df.select(*cols, c(label).cast("double").alias("label"), *keep)
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error").transform(flat).select(
-        "features", "label", *keep)
+def _named(betas, features: Sequence[str]) -> LogitModel:
+    return LogitModel(float(betas[0]), dict(zip(features, map(float, betas[1:]))))
 
 
 def fit_logit(df: DataFrame, features: Sequence[str], label: str = "is_bad", c_value: float | None = None,
-              weight: str | None = None, n: float | None = None) -> LogitModel:
+              weight: str | None = None) -> LogitModel:
     """L2 logistic regression; ``c_value`` is the inverse penalty of the summed loss."""
-    data = _vector(df.withColumn("weight", c(weight)) if weight else df, features, label)
-    n = n or data.count()
-    lr = LogisticRegression(maxIter=100, tol=1e-8, standardization=False,
-                            regParam=0.0 if c_value is None else 1.0 / (c_value * n))
-    if weight:
-        lr = lr.setWeightCol("weight")
-    m = lr.fit(data)
-    return LogitModel(float(m.intercept), dict(zip(features, map(float, m.coefficients))))
+    cells = logit.feature_cells(df, features, label, weight)
+    return _named(logit.newton(cells, len(features), [logit.Task(c_value)])[0], features)
+
+
+def logit_grid(df: DataFrame, features: Sequence[str], label: str = "is_bad", id_col: str = "application_id", folds: int = 3,
+               grid: Sequence[float] = K.LR_C_GRID, fold: str | None = None) -> list[tuple[float, float, LogitModel]]:
+    """(mean held-out AUC, penalty, model on all rows) for each penalty; folds by hash of the id, or as the column ``fold`` has them."""
+    data = df if fold else folded(df, id_col, folds, salt=3)
+    cells = logit.feature_cells(data, features, label, fold=fold or "fold")
+    return [(auc, v, _named(b, features)) for auc, v, b in logit.grid(cells, len(features), grid, folds)]
 
 
 def fit_logit_cv(df: DataFrame, features: Sequence[str], label: str = "is_bad", id_col: str = "application_id",
                  folds: int = 3, grid: Sequence[float] = K.LR_C_GRID) -> tuple[LogitModel, float]:
-    """Choose the penalty by cross-validated AUC, then refit on everything."""
-    data = _vector(folded(df, id_col, folds, salt=3), features, label).cache()
-    try:
-        n = data.count()
-        lr = LogisticRegression(maxIter=50, standardization=False)
-        per_fold = n * (folds - 1) / folds
-        params = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (v * per_fold) for v in grid]).build()
-        cv = CrossValidator(estimator=lr, estimatorParamMaps=params, evaluator=BinaryClassificationEvaluator(),
-                            numFolds=folds, foldCol="fold", parallelism=4)
-        best = max(zip(cv.fit(data).avgMetrics, grid))[1]
-        m = LogisticRegression(maxIter=100, tol=1e-8, standardization=False, regParam=1.0 / (best * n)).fit(data)
-    finally:
-        data.unpersist()
-    return LogitModel(float(m.intercept), dict(zip(features, map(float, m.coefficients)))), best
+    """Choose the penalty by cross-validated AUC (the weaker one on ties), fitted on everything."""
+    _, best, model = max(logit_grid(df, features, label, id_col, folds, grid), key=lambda g: g[:2])
+    return model, best
 
 
 def fit_rule_pd(df: DataFrame, label: str = "is_bad", score: str = "rule_score") -> LogitModel:
     """Composite -> PD. The composite takes few values, so counts per value are fitted with weights."""
     counts = df.groupBy(c(score).alias(score), c(label).cast("double").alias(label)).agg(F.count("*").cast("double").alias("w"))
-    return fit_logit(counts, [score], label, c_value=1.0, weight="w", n=df.count())
+    return fit_logit(counts, [score], label, c_value=1.0, weight="w")
 
 
 def boost_vector(df: DataFrame, fills: dict, features: Sequence[str], out: str = "boost_features") -> DataFrame:
@@ -178,16 +164,8 @@ def monotonicity(scored: DataFrame, features: Sequence[str] = tuple(K.BOOST_SIGN
     return out
 
 
-def fit_isotonic(df: DataFrame, raw: str, label: str = "is_bad"):
-    """Isotonic calibration on counts per distinct raw score."""
-    counts = df.where(c(raw).isNotNull()).groupBy(c(raw).cast("double").alias("features")).agg(
-        F.avg(c(label).cast("double")).alias("label"), F.count("*").cast("double").alias("weight"))
-    return IsotonicRegression(weightCol="weight", predictionCol="_iso").fit(counts)
-
-
-def apply_isotonic(df: DataFrame, model, raw: str, out: str, low: float = 0.0, high: float = 1.0) -> DataFrame:
-    p = model.setFeaturesCol("_iso_x").setPredictionCol("_iso_y").transform(df.withColumn("_iso_x", c(raw).cast("double")))
-    return p.withColumn(out, F.least(F.greatest("_iso_y", F.lit(low)), F.lit(high))).drop("_iso_x", "_iso_y")
+def apply_isotonic(df: DataFrame, model: IsotonicSteps, raw: str, out: str, low: float = 0.0, high: float = 1.0) -> DataFrame:
+    return model.apply(df, raw, out).withColumn(out, F.least(F.greatest(c(out), F.lit(low)), F.lit(high)))
 
 
 def segment_multiplier(df: DataFrame, segment: Column, pd_col: str = "pd", label: str = "is_bad", prior: float = 60.0,
@@ -223,7 +201,7 @@ class ScorecardModel:
     boosted: object
     boost_fills: dict
     boost_features: list
-    isotonic: object
+    isotonic: IsotonicSteps | None
     multiplier: float
     weights: tuple = K.BLEND_WEIGHTS
     roles: K.PartnerRoles = K.DEFAULT_ROLES
@@ -307,7 +285,7 @@ class WoePdModel:
 
     woe: WoeModel
     logit: LogitModel
-    isotonic: object
+    isotonic: IsotonicSteps
     c_value: float
 
     def predict(self, feat: DataFrame, out: str = "pd") -> DataFrame:

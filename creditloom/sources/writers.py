@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.grading import GradeScheme
+from ..operators.isotonic import IsotonicSteps
 from ..operators.models import LogitModel, ScorecardModel, WoePdModel
 from ..operators.woe import WoeModel
 
@@ -66,18 +67,16 @@ def load_scheme(spark: SparkSession, path: str) -> GradeScheme:
 
 
 def save_scorecard(spark: SparkSession, model: ScorecardModel, path: str) -> None:
-    """Parameters as one small table; tree and isotonic models in their own ML format."""
+    """Parameters as one small table; trees in their own ML format."""
     _put(spark, f"{path}/params", {
         "woe": asdict(model.woe), "woe_logit": asdict(model.woe_logit), "rule_logit": asdict(model.rule_logit),
         "boost_fills": model.boost_fills, "boost_features": model.boost_features, "multiplier": model.multiplier,
-        "weights": list(model.weights), "roles": asdict(model.roles)})
+        "weights": list(model.weights), "roles": asdict(model.roles), "isotonic": asdict(model.isotonic)})
     model.boosted.write().overwrite().save(f"{path}/boosted")
-    model.isotonic.write().overwrite().save(f"{path}/isotonic")
 
 
 def load_scorecard(spark: SparkSession, path: str) -> ScorecardModel:
     from pyspark.ml.classification import GBTClassificationModel
-    from pyspark.ml.regression import IsotonicRegressionModel
 
     from ..constants import PartnerRoles
     s = _get(spark, f"{path}/params")
@@ -85,15 +84,13 @@ def load_scorecard(spark: SparkSession, path: str) -> ScorecardModel:
     return ScorecardModel(
         WoeModel(**s["woe"]), LogitModel(**s["woe_logit"]), LogitModel(**s["rule_logit"]),
         GBTClassificationModel.load(f"{path}/boosted"), s["boost_fills"], s["boost_features"],
-        IsotonicRegressionModel.load(f"{path}/isotonic"), s["multiplier"], tuple(s["weights"]), roles)
+        IsotonicSteps(**s["isotonic"]), s["multiplier"], tuple(s["weights"]), roles)
 
 
 def save_woe_pd(spark: SparkSession, model: WoePdModel, path: str) -> None:
-    _put(spark, f"{path}/params", {"woe": asdict(model.woe), "logit": asdict(model.logit), "c_value": model.c_value})
-    model.isotonic.write().overwrite().save(f"{path}/isotonic")
+    _put(spark, f"{path}/params", {"woe": asdict(model.woe), "logit": asdict(model.logit), "c_value": model.c_value, "isotonic": asdict(model.isotonic)})
 
 
 def load_woe_pd(spark: SparkSession, path: str) -> WoePdModel:
-    from pyspark.ml.regression import IsotonicRegressionModel
     s = _get(spark, f"{path}/params")
-    return WoePdModel(WoeModel(**s["woe"]), LogitModel(**s["logit"]), IsotonicRegressionModel.load(f"{path}/isotonic"), s["c_value"])
+    return WoePdModel(WoeModel(**s["woe"]), LogitModel(**s["logit"]), IsotonicSteps(**s["isotonic"]), s["c_value"])
