@@ -301,7 +301,7 @@ def grade_shift(spark, sf):
     return drift.grade_shift(*_split(spark, sf), fr.LETTERS)
 
 
-@query("grade_chi2", sql("""select round(sum(pow(nc-x,2)/x),4) as chi2, 6 as dof, sum(nc)::bigint as n_current from (select nc, e*sum(nc) over ()/sum(e) over () as x from (select nc, greatest(round(nr/(select sum(nr) from gc),4)*(select sum(nc) from gc),1) as e from gc) t) t""", "decided", plus=_GC))
+@query("grade_chi2", sql("""select chi2, dof, n_current, round(p,4) as p_value, case when p<0.01 then 'RED' when p<0.05 then 'WARNING' else 'STABLE' end as level from (select *, exp(-v/2)*(1+v/2+v*v/8) as p from (select sum(pow(nc-x,2)/x) as v, round(sum(pow(nc-x,2)/x),4) as chi2, 6 as dof, sum(nc)::bigint as n_current from (select nc, e*sum(nc) over ()/sum(e) over () as x from (select nc, greatest(round(nr/(select sum(nr) from gc),4)*(select sum(nc) from gc),1) as e from gc) t) t) t) t""", "decided", plus=_GC))
 def grade_chi2(spark, sf):
     return fr.rounded(drift.grade_chi2(*_split(spark, sf), fr.LETTERS), 4)
 
@@ -449,7 +449,7 @@ def capacity_plan(spark, sf):
 _KM = f"""sv as (select date_diff('day',cast(signing_date as date),date '{AS_OF}') as t, is_bad as e, case when pd<=q[1] then 'low_risk' when pd<=q[2] then 'medium_risk' else 'high_risk' end as tier
   from decided, (select quantile_cont(pd,[0.33,0.66]) as q from decided) z where date_diff('day',cast(signing_date as date),date '{AS_OF}')>0),
 kd as (select tier, t, count(*) as n, sum(e) as d, sum(count(*)) over (partition by tier order by t desc) as r from sv group by tier, t),
-ks as (select *, exp(sum(ln(1-d/r)) over (partition by tier order by t)) as s from kd where d<r)"""
+ks as (select *, case when max(case when d=r then 1 else 0 end) over w = 1 then 0e0 else exp(sum(coalesce(ln(nullif(1-d/r,0)),0)) over w) end as s from kd window w as (partition by tier order by t))"""
 
 
 def _survival(spark, sf):
@@ -459,11 +459,11 @@ def _survival(spark, sf):
 
 @query("kaplan_meier", sql("select tier, t::bigint as duration, n, d::bigint as events, r::bigint as at_risk, round(s,6) as survival from ks", "decided", plus=_KM))
 def kaplan_meier(spark, sf):
-    t = survival.life_table(_survival(spark, sf), ["tier"]).where("events < at_risk")
+    t = survival.life_table(_survival(spark, sf), ["tier"])
     return fr.rounded(t.select("tier", c("duration").cast("bigint").alias("duration"), "n", "events", "at_risk", "survival"))
 
 
 @query("survival_by_tier", sql("select tier, sum(n)::bigint as n, sum(d)::bigint as events, " + ", ".join(f"round(coalesce(arg_max(case when t<={d} then s end, case when t<={d} then t end),1),6) as survival_{m}mo" for m, d in zip(K.HORIZON_MONTHS, K.HORIZON_DAYS)) + " from ks group by tier", "decided", plus=_KM))
 def survival_by_tier(spark, sf):
-    t = survival.life_table(_survival(spark, sf), ["tier"]).where("events < at_risk")
+    t = survival.life_table(_survival(spark, sf), ["tier"])
     return fr.rounded(survival.survival_at(t, by=["tier"]))

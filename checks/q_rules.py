@@ -113,7 +113,7 @@ def exact_quantiles(spark, sf):
     return fr.rounded(q.select("name", *[c("q")[i].alias(f"q{i}") for i in range(7)]))
 
 
-_WOE_FEATURES = ("fico", "d30", "d60", "inq6", "revutil", "pastdue", "tl_total", "tl_paid", "mopmt", "crhist", "qi_encoded", "fico_qi_interaction",
+_WOE_FEATURES = ("fico", "d30", "d60", "inq6", "revutil", "pastdue", "instbal", "revbal", "tl_total", "tl_paid", "tl_delin", "mopmt", "crhist", "qi_encoded", "fico_qi_interaction",
                  "paid_ratio", "delin_rate", "bureau_health", "cash_stress", "is_repeat", "has_prior_bad")
 
 
@@ -147,12 +147,13 @@ def woe_selection(spark, sf):
     return fr.rounded(woe.select_features(iv))
 
 
-@query("woe_transform", _woe_sql("select application_id, max(case when name='fico' then round(woe,6) end) as fico_woe, max(case when name='mopmt' then round(woe,6) end) as mopmt_woe, max(case when name='cash_stress' then round(woe,6) end) as cash_stress_woe from bn join tb using (name, bin) group by application_id"))
+@query("woe_transform", _woe_sql("select application_id, name, round(woe,6) as woe from bn join tb using (name, kind, bin) where name in (select name from (select name, sum(iv) as iv from tb group by name) t where iv>=0.02 order by iv desc, name limit 15)"))
 def woe_transform(spark, sf):
+    """The selected features of every training row as weights of evidence, a row for each feature."""
     df = _train(spark, sf)
-    m = woe.fit_woe(df, features=("fico", "mopmt", "cash_stress"))
-    m.features = ["fico", "mopmt", "cash_stress"]
-    return fr.rounded(m.transform(df).select("application_id", "fico_woe", "mopmt_woe", "cash_stress_woe"))
+    m = woe.fit_woe(df)
+    t = m.transform(df)
+    return fr.rounded(t.select("application_id", F.inline(F.array(*[F.struct(F.lit(f).alias("name"), c(f + "_woe").alias("woe")) for f in m.features]))))
 
 
 # --- grading ---------------------------------------------------------------------

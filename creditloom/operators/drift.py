@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.binning import equal_width_bin
 from ..functions.clean import finite
+from ..functions.special import chi2_tail
 from .labels import in_month, moment
 from .metrics import calibration, decile_table, ranking
 from .prefix import long_values
@@ -144,7 +145,7 @@ def grade_shift(reference: DataFrame, current: DataFrame, grades: Sequence[str],
 
 
 def grade_chi2(reference: DataFrame, current: DataFrame, grades: Sequence[str], label: str = "is_bad") -> DataFrame:
-    """chi2 statistic of current grade counts against baseline shares; expected counts are
+    """chi2 test of current grade counts against baseline shares, with its p-value and level; expected counts are
     floored at 1 and rescaled to the observed total."""
     ref = grade_counts(reference, grades, label).select("grade", c("n").alias("nr"))
     cur = grade_counts(current, grades, label).select("grade", c("n").alias("nc"))
@@ -153,20 +154,9 @@ def grade_chi2(reference: DataFrame, current: DataFrame, grades: Sequence[str],
     e = j.withColumn("t", tot).withColumn("e", F.greatest(F.round(c("nr") / c("t.r"), 4) * c("t.q"), F.lit(1.0)))
     e = e.agg(F.sum("e").alias("se"), F.max("t.q").alias("n"), F.collect_list(F.struct("nc", "e")).alias("cells"))
     chi2 = F.aggregate("cells", F.lit(0.0), lambda acc, x: acc + F.pow(x["nc"] - x["e"] * c("n") / c("se"), 2) / (x["e"] * c("n") / c("se")))
-    return e.select(chi2.alias("chi2"), F.lit(len(grades) - 1).alias("dof"), c("n").alias("n_current"))
-
-
-def grade_chi2_p(reference: DataFrame, current: DataFrame, grades: Sequence[str], label: str = "is_bad") -> dict:
-    """The same with its p-value. Only the few grade counts reach the driver."""
-    from pyspark.mllib.linalg import Vectors as V
-    from pyspark.mllib.stat import Statistics
-    ref = {r.grade: r.n for r in grade_counts(reference, grades, label).collect()}
-    cur = {r.grade: r.n for r in grade_counts(current, grades, label).collect()}
-    tr, tc = sum(ref.values()), sum(cur.values())
-    expected = [max(round(ref[g] / tr, 4) * tc, 1.0) for g in grades]
-    out = Statistics.chiSqTest(V.dense([float(cur[g]) for g in grades]), V.dense(expected))
-    level = "RED" if out.pValue < K.GRADE_DRIFT_RED_P else "WARNING" if out.pValue < K.GRADE_DRIFT_WARNING_P else "STABLE"
-    return {"chi2": out.statistic, "p_value": out.pValue, "dof": out.degreesOfFreedom, "level": level}
+    p = chi2_tail(c("chi2"), len(grades) - 1)
+    level = F.when(c("p_value") < K.GRADE_DRIFT_RED_P, "RED").when(c("p_value") < K.GRADE_DRIFT_WARNING_P, "WARNING").otherwise("STABLE")
+    return e.select(chi2.alias("chi2"), F.lit(len(grades) - 1).alias("dof"), c("n").alias("n_current")).withColumn("p_value", p).withColumn("level", level)
 
 
 def calibration_drift(df: DataFrame, score: str = "pd", label: str = "is_bad",

@@ -94,7 +94,7 @@ class WoeModel:
         if self.kinds[name] == "category":
             for k, v in sorted(table.items()):
                 if k != "null":
-                    expr = expr.when(F.round(x, 6) == float(k[1:]), F.lit(float(v)))
+                    expr = expr.when(x == float(k[1:]), F.lit(float(v)))
             return expr.otherwise(F.lit(0.0))
         inner = self.edges[name][1:-1]
         for i, hi in enumerate(inner):

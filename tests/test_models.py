@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.operators import drift, metrics, models, survival, woe
+from creditloom.functions.special import chi2_tail
 from creditloom.operators.models import LogitModel, isotonic_steps
 from creditloom.sources import writers
 
@@ -44,9 +45,19 @@ def test_psi_of_itself_is_zero(spark, sample):
 def test_chi2_p_value(spark):
     df = spark.createDataFrame([("A", 0)] * 60 + [("B", 1)] * 40, "grade string, is_bad int")
     other = spark.createDataFrame([("A", 0)] * 40 + [("B", 1)] * 60, "grade string, is_bad int")
-    r = drift.grade_chi2_p(df, other, ("A", "B"))
-    assert abs(r["chi2"] - 16.6667) < 1e-3 and r["level"] == "RED"
-    assert drift.grade_chi2_p(df, df, ("A", "B"))["level"] == "STABLE"
+    r = drift.grade_chi2(df, other, ("A", "B")).first()
+    assert abs(r["chi2"] - 16.6667) < 1e-3 and r["level"] == "RED" and abs(r["p_value"] - 4.4557e-5) < 1e-8
+    assert drift.grade_chi2(df, df, ("A", "B")).first()["level"] == "STABLE"
+    # published quantiles
+    for dof, value, tail in ((1, 3.841459, 0.05), (2, 5.991465, 0.05), (3, 11.344867, 0.01), (5, 1.145476, 0.95), (6, 16.811894, 0.01), (9, 27.877165, 0.001)):
+        p = spark.range(1).select(chi2_tail(F.lit(value), dof)).first()[0]
+        assert abs(p - tail) < 1e-6 * max(1, tail / 0.01)
+    assert spark.range(1).select(chi2_tail(F.lit(0.0), 3)).first()[0] == 1.0
+
+
+def test_woe_of_long_category_values(spark):
+    m = woe.WoeModel(["k"], {"k": "category"}, {"k": []}, {"k": {"v0.12345678": 1.7, "v3.0": -0.4}}, {"k": 1.0})
+    assert [r[0] for r in m.transform(spark.createDataFrame([(0.12345678,), (3.0,), (0.123457,), (None,)], "k double")).select("k_woe").collect()] == [1.7, -0.4, 0.0, 0.0]
 
 
 def test_isotonic_is_monotone_and_keeps_the_mean():
