@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from array import array
 
@@ -33,6 +34,8 @@ END = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Sequences made from one row when new ones are opened.
 CHUNK = 50_000
+#: A capital and the first byte of a mark from U+0300 to U+037F; no others compose with ASCII letters.
+_COMPOSING = re.compile(rb"[A-Z][\xcc\xcd]")
 
 
 class WordEncoder:
@@ -40,8 +43,8 @@ class WordEncoder:
 
     The vocabulary's pre-tokenizer never joins text across white space, so each word between ASCII blanks is encoded once
     and remembered (the memory is emptied when full). Final full stops and commas are pieces of their own after a letter or digit.
-    Words of ASCII alone are remembered in lower case; others may compose before the vocabulary lowers them. Texts that
-    hold the string of a special token are encoded whole.
+    Words are remembered in lower case, but in texts where a capital may compose with a mark before the vocabulary lowers it
+    only those of ASCII alone. Texts that hold the string of a special token are encoded whole.
     """
 
     def __init__(self, path: str, cached: int = 1_000_000):
@@ -80,7 +83,7 @@ class WordEncoder:
         for i in range(0, len(texts), 256):
             raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts[i:i + 256]]
             whole = {j for j, t in enumerate(raw) if b"<|" in t and any(s in t for s in self.special)}
-            split = [[] if j in whole else t.lower().split() if t.isascii() else [w.lower() if w.isascii() else w for w in t.split()] for j, t in enumerate(raw)]
+            split = [[] if j in whole else [w.lower() if w.isascii() else w for w in t.split()] if _COMPOSING.search(t) else t.lower().split() for j, t in enumerate(raw)]
             if len(known) > self.cached:
                 known.clear()
             missing = {w for words in split for w in words if w not in known}
