@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from creditloom import constants as K
-from creditloom.operators import drift, labels, metrics, review, summary, survival
+from creditloom.operators import baseline, drift, labels, metrics, review, summary, survival
 from creditloom.operators.enrich import compare_production
 from creditloom.plans import monitoring, portfolio
 from creditloom.plans.scoring import live_record
+from creditloom.session import scratch_path
 from creditloom.sources import fixtures as fx
+from creditloom.sources.appendlog import AppendLog
 
 from . import frames as fr
 from .base_sql import AS_OF, BAD, SPLIT, sql
@@ -306,6 +308,38 @@ def grade_chi2(spark, sf):
     return fr.rounded(drift.grade_chi2(*_split(spark, sf), fr.LETTERS), 4)
 
 
+_RUN_SQL = """select 'score_psi' as part, name, round(psi,6) as value from ps where name in ('fraud_score','pd') union all select 'score_psi', name, round(psi,6) from pc where name='grade'
+ union all select 'feature_psi', name, round(psi,6) from ps where name not in ('fraud_score','pd') union all select 'feature_psi', name, round(psi,6) from pc where name<>'grade'
+ union all select 'auc', name, round(max(case when g='current' then auc end)-max(case when g='reference' then auc end),6) from rk group by name
+ union all select 'grade_shift', grade, case when nc>0 then round(round(rc,4)/greatest(coalesce(round(rr,4),0),0.001),4) end from gc
+ union all select 'grade_chi2', 'chi2', round(sum(pow(nc-x,2)/x),4) from (select nc, e*sum(nc) over ()/sum(e) over () as x from (select nc, greatest(round(nr/(select sum(nr) from gc),4)*(select sum(nc) from gc),1) as e from gc) t) t"""
+_RUN_PLUS = ",\n".join((_psi_cont(("fraud_score", "pd", "fico", "d30", "revutil")), _psi_cat(("grade", "qi", "partner")), _rank_sql(("pd", "fraud_score", "woe_pd", "rule_pd", "xgb_pd"), by=_PERIOD), _GC))
+
+
+def _run_values(parts):
+    part = lambda k, name, value, digits: parts[k].select(F.lit(k).alias("part"), name.alias("name"), F.round(value, digits).alias("value"))
+    return (part("score_psi", c("name"), c("psi"), 6).unionByName(part("feature_psi", c("name"), c("psi"), 6)).unionByName(part("auc", c("name"), c("delta"), 6))
+            .unionByName(part("grade_shift", c("grade"), c("ratio"), 4)).unionByName(part("grade_chi2", F.lit("chi2"), c("chi2"), 4)))
+
+
+@query("stored_baseline", sql(_RUN_SQL, "decided", plus=_RUN_PLUS))
+def stored_baseline(spark, sf):
+    """The reference is captured in three periods, appended and summed; the run reads these counts and the current rows only."""
+    ref, cur = _split(spark, sf)
+    root = scratch_path(spark, "baseline")
+    log = AppendLog(spark, root)
+    year = F.year("signing_date")
+    for i, part in enumerate((ref.where(year < 1995), ref.where((year >= 1995) & (year < 1998)), ref.where(year >= 1998))):
+        log.append(baseline.capture(part), f"{root}/counts", i)
+    return _run_values(baseline.drift_from_baseline(baseline.together(log.read(f"{root}/counts")), cur, fr.LETTERS))
+
+
+@query("drift_run", sql(_RUN_SQL, "decided", plus=_RUN_PLUS))
+def drift_run(spark, sf):
+    ref, cur = _split(spark, sf)
+    return _run_values(monitoring.drift_run(ref, cur, SPLIT, fr.LETTERS))
+
+
 @query("calibration_drift", sql("""select decile, p as predicted_mean, a as actual_rate, n, n_bad, r as act_over_pred, case when r<0.6 or r>1.5 then 'CRITICAL' when r<0.8 or r>1.2 then 'WARNING' else 'STABLE' end as level from (
  select decile, round(p,4) as p, round(a,4) as a, n, n_bad, round(case when round(p,4)>0.001 then round(a,4)/round(p,4) when a>0 then 'inf'::double else 1 end,4) as r from dc) t""", "decided", plus=_DEC))
 def calibration_drift(spark, sf):

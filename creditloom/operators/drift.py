@@ -134,12 +134,17 @@ def grade_counts(df: DataFrame, grades: Sequence[str], label: str = "is_bad") ->
 
 def grade_shift(reference: DataFrame, current: DataFrame, grades: Sequence[str], label: str = "is_bad") -> DataFrame:
     """Grade shares and bad rates against the baseline, with the rate ratio."""
-    def side(df, s):
-        t = grade_counts(df, grades, label)
-        total = df.agg(F.count("*")).scalar()
+    total = lambda df: df.agg(F.count("*")).scalar()
+    return grade_shift_of_counts(grade_counts(reference, grades, label), grade_counts(current, grades, label), total(reference), total(current))
+
+
+def grade_shift_of_counts(reference: DataFrame, current: DataFrame, n_ref: Column | None = None, n_cur: Column | None = None) -> DataFrame:
+    """The same from (grade, n, n_bad) of either side; their totals are those of the grades unless given."""
+    def side(t, s, total):
+        total = t.agg(F.sum("n")).scalar() if total is None else total
         return t.select("grade", c("n").alias(f"n_{s}"), F.round(c("n") / F.greatest(total, F.lit(1)), 4).alias(f"share_{s}"),
                         F.round(F.try_divide(c("n_bad"), c("n")), 4).alias(f"rate_{s}"))
-    j = side(reference, "ref").join(side(current, "cur"), "grade")
+    j = side(reference, "ref", n_ref).join(side(current, "cur", n_cur), "grade")
     ratio = c("rate_cur") / F.greatest(F.coalesce(c("rate_ref"), F.lit(0.0)), F.lit(0.001))
     return j.withColumn("ratio", F.when(c("n_cur") > 0, F.round(ratio, 4)))
 
@@ -147,16 +152,19 @@ def grade_shift(reference: DataFrame, current: DataFrame, grades: Sequence[str],
 def grade_chi2(reference: DataFrame, current: DataFrame, grades: Sequence[str], label: str = "is_bad") -> DataFrame:
     """chi2 test of current grade counts against baseline shares, with its p-value and level; expected counts are
     floored at 1 and rescaled to the observed total."""
-    ref = grade_counts(reference, grades, label).select("grade", c("n").alias("nr"))
-    cur = grade_counts(current, grades, label).select("grade", c("n").alias("nc"))
-    j = ref.join(cur, "grade")
+    return chi2_of_counts(grade_counts(reference, grades, label), grade_counts(current, grades, label), len(grades))
+
+
+def chi2_of_counts(reference: DataFrame, current: DataFrame, n_grades: int) -> DataFrame:
+    """The same from (grade, n) of either side."""
+    j = reference.select("grade", c("n").alias("nr")).join(current.select("grade", c("n").alias("nc")), "grade")
     tot = j.agg(F.struct(F.sum("nr").alias("r"), F.sum("nc").alias("q"))).scalar()
     e = j.withColumn("t", tot).withColumn("e", F.greatest(F.round(c("nr") / c("t.r"), 4) * c("t.q"), F.lit(1.0)))
     e = e.agg(F.sum("e").alias("se"), F.max("t.q").alias("n"), F.collect_list(F.struct("nc", "e")).alias("cells"))
     chi2 = F.aggregate("cells", F.lit(0.0), lambda acc, x: acc + F.pow(x["nc"] - x["e"] * c("n") / c("se"), 2) / (x["e"] * c("n") / c("se")))
-    p = chi2_tail(c("chi2"), len(grades) - 1)
+    p = chi2_tail(c("chi2"), n_grades - 1)
     level = F.when(c("p_value") < K.GRADE_DRIFT_RED_P, "RED").when(c("p_value") < K.GRADE_DRIFT_WARNING_P, "WARNING").otherwise("STABLE")
-    return e.select(chi2.alias("chi2"), F.lit(len(grades) - 1).alias("dof"), c("n").alias("n_current")).withColumn("p_value", p).withColumn("level", level)
+    return e.select(chi2.alias("chi2"), F.lit(n_grades - 1).alias("dof"), c("n").alias("n_current")).withColumn("p_value", p).withColumn("level", level)
 
 
 def calibration_drift(df: DataFrame, score: str = "pd", label: str = "is_bad",

@@ -35,10 +35,10 @@ def drift_run(reference: DataFrame, current: DataFrame, split_date: str, grades)
         "score_psi": drift.score_psi(reference, current), "feature_psi": drift.feature_psi(reference, current),
         "auc": drift.auc_decay(both, ["pd", "fraud_score", "woe_pd", "rule_pd", "xgb_pd"]),
         "calibration": cal, "calibration_summary": drift.calibration_summary(cal),
-        "grade_shift": drift.grade_shift(reference, current, grades),
+        "grade_shift": drift.grade_shift(reference, current, grades), "grade_chi2": drift.grade_chi2(reference, current, grades),
         "breakers": drift.breakers(drift.operational_metrics(current)),
     }
-    alerts = drift.alert_rows(out["score_psi"], "score_psi", "name")
+    alerts = drift.alert_rows(out["score_psi"], "score_psi", "name").unionByName(drift.alert_rows(out["grade_chi2"], "grade_chi2"))
     for part, key in (("feature_psi", "name"), ("auc", "name"), ("calibration", "decile"), ("breakers", "metric")):
         alerts = alerts.unionByName(drift.alert_rows(out[part], part, key))
     out["alerts"], out["status"] = alerts, drift.overall_status(alerts)
