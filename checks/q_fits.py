@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.operators import isotonic, labels, models, survival
+from creditloom.operators import boosting, isotonic, labels, models, survival
 from creditloom.operators.rules import rule_composite
 
 from . import frames as fr
@@ -103,3 +103,40 @@ def isotonic_calibration(spark, sf):
     df = fr.scored_table(spark, sf).select("is_bad", F.round("pd", 3).alias("score"))
     m = isotonic.fit_isotonic(df, "score", n_slices=16)
     return m.apply(df.select("score").distinct(), "score", "y").select("score", F.round("y", 6).alias("calibrated"))
+
+
+# --- boosted trees ---------------------------------------------------------------------
+def _boosting(rounds: int, step: float, bins: int) -> str:
+    """Two-level trees with signs on three features, from cells `bc` (b0, b1, b2, n, bad) and the first score in `ba`."""
+    probs = [i / bins for i in range(1, bins)]
+    names = ("x0", "x1", "x2")
+    parts = [f"ed as materialized (select {', '.join(f'list_sort(list_distinct(quantile_cont({x},{probs}))) as q{i}, max({x}) as m{i}' for i, x in enumerate(names))} from bx)",
+             "bb as materialized (select id, y, " + ", ".join(f"len(list_filter(q{i}, lambda e: e < m{i} and x{i} > e)) as b{i}" for i in range(3)) + " from bx, ed)",
+             "ba as materialized (select ln(avg(y)/(1-avg(y))) as f0 from bb)",
+             "f_0 as materialized (select b0, b1, b2, cast(count(*) as double) as n, cast(sum(y) as double) as bad, any_value(f0) as f from bb, ba group by 1,2,3)"]
+    sign = "case j when 0 then -1 else 1 end"
+    for r in range(rounds):
+        def candidates(name, source, low, high):
+            longs = " union all ".join(f"select node, {j} as j, b{j} as b, n, bad-n/(1+exp(-f)) as g, n*(1/(1+exp(-f)))*(1-1/(1+exp(-f))) as h from {source}" for j in range(3))
+            return [f"hi_{name} as (select node, j, b, sum(n) as n, sum(g) as g, sum(h) as h from ({longs}) t group by 1,2,3)",
+                    f"cu_{name} as (select node, j, b, sum(n) over w as nl, sum(g) over w as gl, sum(h) over w as hl, sum(n) over a as n, sum(g) over a as g, sum(h) over a as h from hi_{name} window w as (partition by node, j order by b), a as (partition by node, j))",
+                    f"""ca_{name} as (select node, j, b, least(greatest(gl/(hl+1),{low}),{high}) as l, least(greatest((g-gl)/(h-hl+1),{low}),{high}) as r, gl*gl/(hl+1)+(g-gl)*(g-gl)/(h-hl+1)-g*g/(h+1) as gain, {sign} as s from cu_{name} where nl>=50 and n-nl>=50)""",
+                    f"sp_{name} as materialized (select * from (select *, row_number() over (partition by node order by gain desc, j, b) as k from ca_{name} where gain>1e-12 and s*(r-l)>=0) t where k=1)"]
+        lo = f"(case when node=1 then (select case when s<0 then (l+r)/2 else -1e300 end from sp_{r}a) else (select case when s>0 then (l+r)/2 else -1e300 end from sp_{r}a) end)"
+        hi = f"(case when node=1 then (select case when s>0 then (l+r)/2 else 1e300 end from sp_{r}a) else (select case when s<0 then (l+r)/2 else 1e300 end from sp_{r}a) end)"
+        goes = "case j when 0 then b0 when 1 then b1 else b2 end"
+        parts += [f"n_{r}a as (select *, 0 as node from f_{r})", *candidates(f"{r}a", f"n_{r}a", "-1e300", "1e300"),
+                  f"n_{r}b as materialized (select c.*, case when {goes} <= t.b then 1 else 2 end as node, case when {goes} <= t.b then t.l else t.r end as v from f_{r} c, sp_{r}a t)",
+                  *candidates(f"{r}b", f"n_{r}b", lo, hi),
+                  f"f_{r + 1} as materialized (select b0, b1, b2, n, bad, f+{step}*(case when t.node is null then v when {goes} <= t.b then t.l else t.r end) as f from n_{r}b c left join sp_{r}b t using (node))"]
+    return ",\n".join(parts)
+
+
+@query("monotone_trees", sql("select id as application_id, round(1/(1+exp(-f)),6) as pd from bb join f_3 using (b0, b1, b2)", "sc", plus=f"""
+bx as materialized (select application_id as id, is_bad as y, coalesce(fico,650e0) as x0, coalesce(inq6,0e0) as x1, coalesce(revutil,50e0) as x2 from sc),
+{_boosting(3, 0.3, 8)}"""))
+def monotone_trees(spark, sf):
+    """Three trees of two levels with signs on every feature."""
+    df = fr.feature_table(spark, sf)
+    m = boosting.fit(df, ("fico", "inq6", "revutil"), {"fico": 650.0, "inq6": 0.0, "revutil": 50.0}, rounds=3, depth=2, step=0.3, bins=8, signs={"fico": -1, "inq6": 1, "revutil": 1})
+    return df.select("application_id", F.round(m.column(), 6).alias("pd"))

@@ -1,7 +1,7 @@
 """PD models: logistic, rule, boosted, blended; calibration; segment multiplier.
 
-Logistic fits are Newton steps over distinct cells (`logit`), isotonic fits pool score slices (`isotonic`), trees are
-pyspark.ml's; fitted parameters are small plain data, and linear scoring is a column expression.
+Logistic fits are Newton steps over distinct cells (`logit`), isotonic fits pool score slices (`isotonic`), trees
+grow from histograms (`boosting`); fitted parameters are small plain data, and linear scoring is a column expression.
 """
 
 from __future__ import annotations
@@ -9,15 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.binning import lerp
 from ..functions.clean import upper_text
-from . import logit
+from . import boosting, logit
+from .boosting import BoostedTrees
 from .features import scorecard_features
 from .isotonic import IsotonicSteps, fit_isotonic
 from .metrics import calibration, ranking, with_quantile_bin
@@ -131,24 +130,13 @@ def fit_rule_pd(df: DataFrame, label: str = "is_bad", score: str = "rule_score")
     return fit_logit(counts, [score], label, c_value=1.0, weight="w")
 
 
-def boost_vector(df: DataFrame, fills: dict, features: Sequence[str], out: str = "boost_features") -> DataFrame:
-    filled = df.withColumns({f"_b_{f}": F.coalesce(c(f).cast("double") if f in df.columns else F.lit(None).cast("double"),
-                                                   F.lit(float(fills.get(f, 0.0)))) for f in features})
-    return VectorAssembler(inputCols=[f"_b_{f}" for f in features], outputCol=out).transform(filled).drop(*[f"_b_{f}" for f in features])
-
-
 def fit_boosted(df: DataFrame, label: str = "is_bad", features: Sequence[str] = K.BOOST_FEATURES,
-                rounds: int = K.BOOST_ROUNDS, seed: int = 42):
-    """Boosted trees and the training medians used as fills. Spark's trees take no monotone
-    constraints; ``monotonicity`` below reports where a constrained sign is violated."""
+                rounds: int = K.BOOST_ROUNDS) -> BoostedTrees:
+    """Boosted trees that keep the configured signs, with the training medians as fills."""
     from .conform import medians
     features = [f for f in features if f in df.columns]
     fills = {r["name"]: r["median"] for r in medians(df, features).collect()}
-    data = boost_vector(df, fills, features, "features").select("features", c(label).cast("double").alias("label"))
-    gbt = GBTClassifier(maxDepth=K.BOOST_DEPTH, maxIter=rounds, stepSize=K.BOOST_STEP, subsamplingRate=K.BOOST_SUBSAMPLE,
-                        featureSubsetStrategy="0.6", minInstancesPerNode=50, seed=seed, cacheNodeIds=True,
-                        checkpointInterval=20)
-    return gbt.fit(data), fills, features
+    return boosting.fit(df, features, fills, label, rounds)
 
 
 def monotonicity(scored: DataFrame, features: Sequence[str] = tuple(K.BOOST_SIGNS), pd_col: str = "xgb_pd", bins: int = 5) -> DataFrame:
@@ -198,9 +186,7 @@ class ScorecardModel:
     woe: WoeModel
     woe_logit: LogitModel
     rule_logit: LogitModel
-    boosted: object
-    boost_fills: dict
-    boost_features: list
+    boosted: BoostedTrees
     isotonic: IsotonicSteps | None
     multiplier: float
     weights: tuple = K.BLEND_WEIGHTS
@@ -208,13 +194,10 @@ class ScorecardModel:
 
     def parts(self, df: DataFrame) -> DataFrame:
         """Input features -> the three sub-model PDs and their raw blend."""
-        from pyspark.ml.functions import vector_to_array
         df = rule_composite(self.woe.transform(df))
         df = df.withColumns({"woe_pd": self.woe_logit.column(), "rule_pd": self.rule_logit.column()})
         df = df.drop(*[f + "_woe" for f in self.woe.features])
-        m = self.boosted.setFeaturesCol("_bf").setProbabilityCol("_bp").setRawPredictionCol("_br").setPredictionCol("_bq")
-        df = m.transform(boost_vector(df, self.boost_fills, self.boost_features, "_bf"))
-        df = df.withColumn("xgb_pd", vector_to_array("_bp")[1]).drop("_bf", "_bp", "_br", "_bq")
+        df = df.withColumn("xgb_pd", self.boosted.column(df.columns))
         return df.withColumn("raw_blend", blend(self.weights))
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -228,10 +211,9 @@ class ScorecardModel:
 def _fit_parts(feat: DataFrame, label: str, id_col: str, rounds: int, folds: int) -> ScorecardModel:
     woe = fit_woe(feat, label)
     names = [f + "_woe" for f in woe.features]
-    logit, _ = fit_logit_cv(woe.transform(feat), names, label, id_col, folds)
+    woe_logit, _ = fit_logit_cv(woe.transform(feat), names, label, id_col, folds)
     rule = fit_rule_pd(rule_composite(feat), label)
-    boosted, fills, used = fit_boosted(feat, label, rounds=rounds)
-    return ScorecardModel(woe, logit, rule, boosted, fills, used, None, 1.0)
+    return ScorecardModel(woe, woe_logit, rule, fit_boosted(feat, label, rounds=rounds), None, 1.0)
 
 
 def fit_scorecard(train: DataFrame, label: str = "is_bad", id_col: str = "application_id", rounds: int = K.BOOST_ROUNDS,

@@ -8,6 +8,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.boosting import BoostedTrees
 from ..operators.grading import GradeScheme
 from ..operators.isotonic import IsotonicSteps
 from ..operators.models import LogitModel, ScorecardModel, WoePdModel
@@ -67,23 +68,18 @@ def load_scheme(spark: SparkSession, path: str) -> GradeScheme:
 
 
 def save_scorecard(spark: SparkSession, model: ScorecardModel, path: str) -> None:
-    """Parameters as one small table; trees in their own ML format."""
+    """All parameters, the trees included, as one small table."""
     _put(spark, f"{path}/params", {
-        "woe": asdict(model.woe), "woe_logit": asdict(model.woe_logit), "rule_logit": asdict(model.rule_logit),
-        "boost_fills": model.boost_fills, "boost_features": model.boost_features, "multiplier": model.multiplier,
-        "weights": list(model.weights), "roles": asdict(model.roles), "isotonic": asdict(model.isotonic)})
-    model.boosted.write().overwrite().save(f"{path}/boosted")
+        "woe": asdict(model.woe), "woe_logit": asdict(model.woe_logit), "rule_logit": asdict(model.rule_logit), "boosted": asdict(model.boosted),
+        "multiplier": model.multiplier, "weights": list(model.weights), "roles": asdict(model.roles), "isotonic": asdict(model.isotonic)})
 
 
 def load_scorecard(spark: SparkSession, path: str) -> ScorecardModel:
-    from pyspark.ml.classification import GBTClassificationModel
-
     from ..constants import PartnerRoles
     s = _get(spark, f"{path}/params")
     roles = PartnerRoles(s["roles"]["missing_qi"], s["roles"]["risky"], tuple(s["roles"]["grade_e_decline"]), s["roles"]["encoding"])
     return ScorecardModel(
-        WoeModel(**s["woe"]), LogitModel(**s["woe_logit"]), LogitModel(**s["rule_logit"]),
-        GBTClassificationModel.load(f"{path}/boosted"), s["boost_fills"], s["boost_features"],
+        WoeModel(**s["woe"]), LogitModel(**s["woe_logit"]), LogitModel(**s["rule_logit"]), BoostedTrees(**s["boosted"]),
         IsotonicSteps(**s["isotonic"]), s["multiplier"], tuple(s["weights"]), roles)
 
 

@@ -107,6 +107,36 @@ def test_scorecard_fit_save_load(spark, sample, tmp_path):
     assert all(0 < x.pd < 1 for x in only_fico)
 
 
+def test_trees_keep_their_signs(spark, sample):
+    """Raising a signed feature alone never moves the probability against its sign, and the model as rows scores alike."""
+    from creditloom.operators import boosting
+    df = spark.createDataFrame(sample)
+    m = boosting.fit(df, ["x", "z"], {"x": 0.0, "z": 0.0}, rounds=12, depth=3, step=0.3, signs={"x": 1, "z": -1}, min_rows=20)
+    other = [np.quantile(sample.z, q) for q in (0.1, 0.5, 0.9)]
+    lines = [(i, float(v), float(z)) for i, z in enumerate(other) for v in np.linspace(sample.x.min() - 1, sample.x.max() + 1, 60)]
+    got = spark.createDataFrame(lines, "i int, x double, z double").select("i", "x", m.column().alias("p")).toPandas()
+    for _, part in got.groupby("i"):
+        assert (np.diff(part.sort_values("x").p) >= -1e-12).all() and part.p.max() > part.p.min()
+    from creditloom.operators.metrics import ranking
+    assert ranking(df.withColumn("p", m.column()), ["p"]).first().auc > 0.65
+    rows = {(r.tree, r.node): r for r in m.rows(spark).collect()}
+    for r in df.withColumn("p", m.column()).limit(30).collect():
+        total = m.base
+        for t in range(len(m.trees)):
+            node = rows[t, 0]
+            while node.feature:
+                node = rows[t, node.left if r[node.feature] <= node.threshold else node.right]
+            total += node.value
+        assert abs(r.p - 1 / (1 + np.exp(-total))) < 1e-12
+    # scores that are written on the way change nothing
+    before, boosting.CHECKPOINT = boosting.CHECKPOINT, 3
+    try:
+        again = boosting.fit(df, ["x", "z"], {"x": 0.0, "z": 0.0}, rounds=12, depth=3, step=0.3, signs={"x": 1, "z": -1}, min_rows=20)
+    finally:
+        boosting.CHECKPOINT = before
+    assert [[(n.feature, n.bin) for n in t] for t in again.trees] == [[(n.feature, n.bin) for n in t] for t in m.trees]
+
+
 def test_kaplan_meier(spark, sample):
     df = spark.createDataFrame(sample[["day", "is_bad"]])
     got = {r.duration: r.survival for r in survival.life_table(df, duration="day", event="is_bad").collect()}
