@@ -9,11 +9,11 @@ Log-likelihoods are compared per letter over the whole document, and per word fo
 trees), fitted on labelled documents that the models have not seen, turns these ratios into a probability.
 
 Counts come from every labelled training row, in Spark: while the curve is fitted its own rows are left out, then all are counted again. The tables
-of ratios stay in Spark whole. Words are scored by joins of their letters with these tables; the ratios of at most COMMON frequent words are broadcast,
-which spares frequent words the joins with the documents, and every other word takes the join.
+of ratios stay in Spark whole. The distinct words pass all of them, block by block of bounded size; the ratios of at most COMMON frequent words are broadcast,
+which spares frequent words the join with the documents, and every other word takes the join.
 
 Edge cases: a null or wordless text is scored as an empty one; a document without id is scored and is never a training row; repeated rows are scored each and
-counted each; with only one class in training every score is that class's rate; an empty table gives an empty result; extra columns are ignored.
+counted each; a text of any length is read whole; with only one class in training every score is that class's rate; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
 from creditloom.llm import trees
 from creditloom.llm.common import query, stash, table, unstash, with_column_batches
@@ -37,8 +38,8 @@ ORDER = 6
 DISCOUNT = 0.75  # of the shared lower orders; the class orders estimate theirs
 #: Frequent training words whose ratios are broadcast at most; the others are joined.
 COMMON = 200_000
-#: Copies of the rows of contexts of one or two letters, which stand in a large share of the words.
-SALTS = 32
+#: Contexts and n-grams that are sent to the tasks at a time.
+KEYS_AT_ONCE = 2_000_000
 #: Labelled documents that fit the curve at most, about; the counts have no such bound.
 MAX_CALIBRATION = 20_000
 #: Ratio (nats) above which a word counts as telling.
@@ -197,15 +198,53 @@ def fit_ratio(docs: DataFrame) -> Ratio:
     return Ratio(kept.select(F.concat("ctx", "letter").alias("gram"), "ratio").toArrow(), contexts.toArrow())
 
 
-def word_ratios(words: DataFrame, ratios: DataFrame) -> DataFrame:
-    """(word, ratio) of each row of words: its letters meet their contexts, which hold the ratios of the letters seen there and the weight for all others."""
-    short = F.length("ctx") <= 2
-    copies = F.explode(F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
-    at = letters(words, "word").withColumn("salt", F.when(short, F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")).otherwise(0))
-    # as many entries as there are letters, at most
-    contexts = ratios.groupBy("ctx").agg(F.map_from_entries(F.collect_list(F.struct("letter", "ratio"))).alias("seen"), F.first("backoff").alias("backoff")).select("ctx", "seen", "backoff", copies)
-    found = at.join(contexts.hint("merge"), ["ctx", "salt"], "left")
-    return found.groupBy("word").agg(F.sum(F.coalesce(F.element_at("seen", F.col("letter")), "backoff", F.lit(0.0)).cast("double")).alias("ratio"))
+def key_table(ratios: DataFrame) -> DataFrame:
+    """(k, v): what each seen context, and each seen letter after it, adds to the ratio of a word; k is a hash of the kind and the letters.
+
+    A context adds its backoff weight, a seen letter the rest of its ratio, so the parts of a word's ratio add up in any order."""
+    contexts = ratios.groupBy("ctx").agg(F.first("backoff").cast("double").alias("v")).select(F.xxhash64(F.concat(F.lit("c"), "ctx")).alias("k"), "v")
+    grams = ratios.select(F.xxhash64(F.concat(F.lit("g"), "ctx", "letter")).alias("k"), (F.col("ratio").cast("double") - F.col("backoff").cast("double")).alias("v"))
+    return grams.unionByName(contexts)
+
+
+def _keys(word: str) -> list[int]:
+    """The hashes of key_table() that concern a word."""
+    padded, out = START + word + END, []
+    for i in range(1, len(padded)):
+        ctx = padded[max(0, i - ORDER + 1):i]
+        out.append(xxh64_intdigest(("c" + ctx).encode("utf-8", "surrogatepass"), 42))
+        out.append(xxh64_intdigest(("g" + ctx + padded[i]).encode("utf-8", "surrogatepass"), 42))
+    return out
+
+
+def word_ratios(words: DataFrame, keyed: DataFrame, at_once: int | None = None) -> DataFrame:
+    """(word, ratio) of each row of words, from the whole of keyed: it is dealt into blocks by key, and every word passes all blocks.
+
+    A block of at most about `at_once` keys is sent to the tasks at a time; neither letters nor words are shuffled."""
+    blocks = -(-keyed.count() // (at_once or KEYS_AT_ONCE)) or 1
+    out = words.select("word", F.lit(0.0).alias("ratio"))
+    for b in range(blocks):
+        part = keyed.where(F.pmod("k", F.lit(blocks)) == b).toArrow()
+        k = part.column("k").to_numpy()
+        order = np.argsort(k)
+        sent = words.sparkSession.sparkContext.broadcast((k[order], part.column("v").to_numpy()[order]))
+
+        def run(batches, sent=sent):
+            keys, values = sent.value
+            for batch in batches:
+                found = [_keys(w) for w in batch.column(0).to_pylist()]
+                flat = np.array([x for f in found for x in f], np.uint64).astype(np.int64)
+                at = np.minimum(np.searchsorted(keys, flat), max(len(keys) - 1, 0))
+                v = np.where(keys[at] == flat, values[at], 0.0) if len(keys) else np.zeros(len(flat))
+                ends = np.cumsum([0] + [len(f) for f in found])
+                sums = np.append(0.0, np.cumsum(v))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(batch.column(1).to_numpy() + sums[ends[1:]] - sums[ends[:-1]])], names=["word", "ratio"])
+
+        before, out = out, out.mapInArrow(run, "word string, ratio double")
+        if blocks > 1:
+            out = stash(out, "word-ratios-block")
+            unstash(before)
+    return out
 
 
 @dataclass
@@ -245,7 +284,8 @@ def measured(docs: DataFrame, words: DataFrame, ratios: DataFrame, common: int |
     """
     counted = words.select("word", (F.col("toxic") + F.col("ordinary")).alias("n"))
     frequent = _frequent(counted, COMMON if common is None else common)
-    known = docs.sparkSession.sparkContext.broadcast(Known(word_ratios(frequent, ratios).toArrow()))
+    keyed = stash(key_table(ratios), "gram-keys")
+    known = docs.sparkSession.sparkContext.broadcast(Known(word_ratios(frequent, keyed).toArrow()))
     keep = [c for c in docs.columns if c != "text"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))]
     fields = [f.split()[0] for f in PARTS.split(", ")]
@@ -260,7 +300,8 @@ def measured(docs: DataFrame, words: DataFrame, ratios: DataFrame, common: int |
     # the number of a row is fixed once it is written
     parts = stash(docs.mapInArrow(run, f"{schema}, {PARTS}").withColumn("row", F.monotonically_increasing_id()), "text-parts")
     rest = parts.select("row", F.explode("rest").alias("at")).select("row", "at.word", "at.times")
-    scored = stash(word_ratios(rest.select("word").distinct(), ratios), "word-ratios")
+    scored = stash(word_ratios(rest.select("word").distinct(), keyed), "word-ratios")
+    unstash(keyed)
     if scratch is not None:
         scratch += [parts, scored]
     k = max(BEST)
