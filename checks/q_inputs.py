@@ -118,14 +118,6 @@ def model_state(spark, sf):
 
 
 # --- normalisation ----------------------------------------------------------
-@query("alias_columns", sql("select application_id, fico, d30, d60, inq6, revutil, qi from loans", "loans"))
-def alias_columns(spark, sf):
-    df = fr.loans(spark, sf).withColumnsRenamed({
-        "fico": "experian_FICO_SCORE", "d30": "experian_delinquencies_thirty_day_count", "d60": "experian_delinquencies_sixty_days",
-        "inq6": "experian_inquiries_last_six_months", "revutil": "experian_revolving_utilization", "qi": "shop_qi"})
-    return conform.apply_aliases(df).select("application_id", "fico", "d30", "d60", "inq6", "revutil", "qi")
-
-
 @query("upper_categoricals", sql("select upper(trim(qi)) as qi, upper(trim(partner)) as partner, count(*) as n from loans group by all", "loans"))
 def upper_categoricals(spark, sf):
     df = fr.loans(spark, sf).select(F.concat(F.lit(" "), F.lower("qi")).alias("qi"), F.lower("partner").alias("partner"))
@@ -181,16 +173,6 @@ def quarantine_split(spark, sf):
     return good.select(F.lit("good").alias("side")).unionByName(bad.select(F.lit("bad").alias("side"))).groupBy("side").agg(F.count("*").alias("n"))
 
 
-@query("request_ranges", sql("""
-select application_id, concat_ws('|', case when fico is null then 'fico_required' end, case when fico<300 then 'fico_low' end, case when fico>850 then 'fico_high' end,
- case when rate>1 then 'delin_rate_high' end, case when mo<0 then 'mopmt_low' end) as errors
-from (select *, tl_delin/tl_total*2 as rate, mopmt-2000 as mo from loans) t""", "loans"))
-def request_ranges(spark, sf):
-    df = fr.loans(spark, sf).select("application_id", "fico", (c("tl_delin") / c("tl_total") * 2).alias("delin_rate"), (c("mopmt") - 2000).alias("mopmt"))
-    e = conform.range_errors(df, {k: K.REQUEST_RANGES[k] for k in ("fico", "delin_rate", "mopmt")})
-    return df.select("application_id", F.array_join(e, "|").alias("errors"))
-
-
 @query("default_fill", sql("select application_id, coalesce(fico,0) as fico, coalesce(tl_total,0) as tl_total, coalesce(mopmt,0) as mopmt, cast(0 as integer) as has_prior_bad from scope", "scope"))
 def default_fill(spark, sf):
     return conform.fill_defaults(fr.scope(spark, sf)).select("application_id", "fico", "tl_total", "mopmt", "has_prior_bad")
@@ -237,13 +219,6 @@ def loan_id_resolution(spark, sf):
     return conform.resolve_loan_id(df, "loan_id", "alt_id", out="resolved").select("application_id", "resolved")
 
 
-@query("feature_sets", sql("select count(fico) as fico, count(tl_total) as tl_total, count(crhist) as crhist from scope", "scope"))
-def feature_sets(spark, sf):
-    df = fr.scope(spark, sf)
-    names = conform.feature_columns(df, "bureau_core")
-    return df.select(*names).agg(*[F.count(n).alias(n) for n in names if n in ("fico", "tl_total", "crhist")])
-
-
 # --- filters -----------------------------------------------------------------
 @query("censoring_modes", sql(f"""
 select 'normal_as_good' as mode, count(*) as n, cast(sum(is_bad) as bigint) as n_bad from scope

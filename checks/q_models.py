@@ -8,7 +8,6 @@ from creditloom import constants as K
 from creditloom.operators import labels, models, survival
 from creditloom.operators.features import six_rule_features, survival_features
 from creditloom.operators.grading import fixed_grade
-from creditloom.operators.metrics import ranking
 from creditloom.operators.models import LogitModel
 from creditloom.plans.scoring import ScoringConfig, live_record, score_cascade, score_six_rules
 from creditloom.session import cut_lineage, scratch_path
@@ -76,16 +75,6 @@ def woe_logistic_model(spark, sf):
     return scored.groupBy("grade").agg(F.count("*").alias("n"), F.avg("pd").alias("mean_pd"), F.avg(c("is_bad").cast("double")).alias("bad_rate"))
 
 
-@query("blended_scorecard_fit")
-def blended_scorecard_fit(spark, sf):
-    """Sub-models of the blended scorecard fitted on the training period, AUC on the test period."""
-    feat = fr.feature_table(spark, sf)
-    train, test = labels.temporal_split(feat, SPLIT)
-    m = models._fit_parts(train.cache(), "is_bad", "application_id", K.BOOST_ROUNDS, 3)
-    train.unpersist()
-    return ranking(m.parts(test).select("is_bad", "woe_pd", "rule_pd", "xgb_pd", "raw_blend"), ["woe_pd", "rule_pd", "xgb_pd", "raw_blend"])
-
-
 def _survival_frame(spark, sf):
     df = labels.with_duration(fr.feature_table(spark, sf).select("application_id", "signing_date", "loan_state", "qi", *K.BUREAU_COLUMNS), AS_OF)
     return survival_features(labels.survival_eligible(df, ["tl_total"]))
