@@ -136,14 +136,14 @@ def _train(spark, sf):
 
 @query("woe_table", _woe_sql(f"select name, kind, bin, n_good, n_bad, {r6('woe', 'iv')} from tb"))
 def woe_table(spark, sf):
-    df = _train(spark, sf)
-    return fr.rounded(woe.woe_table(df, woe.bin_spec(df, _WOE_FEATURES), features=_WOE_FEATURES))
+    counts = woe.value_counts(_train(spark, sf), _WOE_FEATURES)
+    return fr.rounded(woe.woe_table(counts, woe.bin_spec(counts)))
 
 
 @query("woe_selection", _woe_sql("select name, round(iv,6) as iv, cast(row_number() over (order by iv desc, name) as integer) as rank from (select name, sum(iv) as iv from tb group by name) t where iv>=0.02 order by iv desc limit 15"))
 def woe_selection(spark, sf):
-    df = _train(spark, sf)
-    iv = woe.information_values(woe.woe_table(df, woe.bin_spec(df, _WOE_FEATURES), features=_WOE_FEATURES))
+    counts = woe.value_counts(_train(spark, sf), _WOE_FEATURES)
+    iv = woe.information_values(woe.woe_table(counts, woe.bin_spec(counts)))
     return fr.rounded(woe.select_features(iv))
 
 

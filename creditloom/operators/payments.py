@@ -46,8 +46,11 @@ def payment_features(payments: DataFrame, order: tuple = ("day_no", "payment_no"
     cum = running_sums(steps, [*order, "amount", "r"], ["c", "ok", "n"], keys=[key], merge=False,
                        slice_width=30.0 if order[0] == days_key else None)
     # one pass: islands of returned payments (equal running count of good ones) and the
-    # amounts of the first and last three customer payments, from 6 payments on
-    cum = cum.join(base.select(key, "cust_payments"), key)
+    # amounts of the first and last three customer payments, from 6 payments on. The number of a loan's customer payments
+    # comes by (loan, part of its days), and islands are dealt out anew, so no task gets a loan whole
+    part = F.floor(F.col(order[0]) / 30)
+    parts = steps.select(key, part.alias("_part")).distinct().join(base.select(key, "cust_payments"), key)
+    cum = cum.withColumn("_part", part).join(parts, [key, "_part"])
     took = lambda lo, hi: F.greatest(F.lit(0), F.least(F.col("c_before") + F.col("c"), hi) - F.greatest(F.col("c_before"), lo))
     first, last = took(F.lit(0), F.lit(3)), took(F.col("cust_payments") - 3, F.col("cust_payments"))
     islands = cum.groupBy(key, "cust_payments", "ok_before").agg(

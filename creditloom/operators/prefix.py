@@ -118,7 +118,11 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     with running_sums and picks the two neighbours of each target position.
     """
     values = long_values(df, cols, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    hist = values.groupBy(*by, "name", "value").agg(F.count("*").alias("n"))
+    return quantiles_of_counts(values.groupBy(*by, "name", "value").agg(F.count("*").alias("n")), probs, by)
+
+
+def quantiles_of_counts(hist: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """The same from (by, name, value, n): counts of the distinct values."""
     series = [*by, "name"]
     cum = running_sums(hist, ["value"], ["n"], series=series, merge=False)
     total = hist.groupBy(*series).agg(F.sum("n").alias("total"))

@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from .. import constants as K
 from ..functions.clean import fill, lookup, percent, upper_text, whole
+from ..session import cut_lineage
 from .labels import in_review
 from .prefix import ranked
 
@@ -184,7 +185,8 @@ def tier_plan(queue: DataFrame, scored: DataFrame, daily_reviews: int = 20) -> D
 
 
 def capacity_plan(queue: DataFrame, scored: DataFrame, daily_reviews: int = 20) -> DataFrame:
-    """One row: recommended tiers and cutoff with the expected catch, precision and days."""
+    """One row: recommended tiers and cutoff with the expected catch, precision and days. The ranked queue is written once for its readers."""
+    queue = cut_lineage(queue.drop("review_reasons"))
     totals = queue.agg(F.struct(F.count("*").alias("n"), F.sum(c("is_bad").cast("bigint")).alias("bads"))).scalar()
     portfolio = scored.agg(F.sum(c("is_bad").cast("bigint"))).scalar()
     p = tier_plan(queue, scored, daily_reviews)

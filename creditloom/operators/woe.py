@@ -1,6 +1,6 @@
 """Weight of evidence: bins, WoE/IV tables, selection and transform.
 
-All features are binned and counted in one pass over a long (feature, bin) view.
+All features are counted in one pass, by distinct value; binning and counting bins work on these counts.
 Bins are decided at fit time and identified by index: outer edges are open, NULL
 is a bin of its own, unknown categories get 0.
 """
@@ -16,17 +16,24 @@ from pyspark.sql import Window as W
 
 from .. import constants as K
 from ..functions.binning import quantile_bin
-from .prefix import long_values, quantile_edges
+from ..session import cut_lineage
+from .prefix import long_values, quantiles_of_counts
 
 
-def bin_spec(df: DataFrame, features: Sequence[str] = K.WOE_FEATURES, n: int = K.WOE_QUANTILES,
-             max_categories: int = K.WOE_MAX_CATEGORIES) -> DataFrame:
-    """(name, kind, edges): expert, category (few distinct values, no edges) or quantile."""
+def value_counts(df: DataFrame, features: Sequence[str] = K.WOE_FEATURES, label: str = "is_bad") -> DataFrame:
+    """(name, value, n, n_good, n_bad), written once: edges, kinds, bins and information values all follow from it."""
     features = [f for f in features if f in df.columns]
-    edges = quantile_edges(df, features, n)
-    # a bounded set of values per feature decides between category and quantile
-    few = long_values(df, features).where(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count("*"))
-    few = few.groupBy("name").agg(F.count("*").alias("n_values"))
+    y = F.col(label).cast("bigint")
+    return cut_lineage(long_values(df, features, carry=[label]).groupBy("name", "value").agg(
+        F.count("*").alias("n"), F.sum(1 - y).alias("n_good"), F.sum(y).alias("n_bad")))
+
+
+def bin_spec(counts: DataFrame, n: int = K.WOE_QUANTILES, max_categories: int = K.WOE_MAX_CATEGORIES) -> DataFrame:
+    """(name, kind, edges) from value_counts: expert, category (few distinct values, no edges) or quantile."""
+    known = counts.where(F.col("value").isNotNull())
+    q = quantiles_of_counts(known.where(~F.isnan("value")).select("name", "value", "n"), [i / n for i in range(n + 1)])
+    edges = q.select("name", F.array_distinct("q").alias("edges"))
+    few = known.groupBy("name").agg(F.count("*").alias("n_values"))
     expert = F.array(*[F.lit(float(e)) for e in K.FICO_WOE_EDGES])
     spec = few.join(F.broadcast(edges), "name")
     kind = F.when(F.col("name") == "fico", "expert").when(F.col("n_values") <= max_categories, "category").otherwise("quantile")
@@ -42,13 +49,11 @@ def _bin(value: Column, kind: Column, edges: Column) -> Column:
     return F.when(value.isNull() | F.isnan(value), "null").otherwise(label)
 
 
-def woe_table(df: DataFrame, spec: DataFrame, label: str = "is_bad", features: Sequence[str] = K.WOE_FEATURES) -> DataFrame:
-    """(name, kind, bin, n_good, n_bad, woe, iv): ln(%good/%bad) with counts floored at 0.5."""
-    features = [f for f in features if f in df.columns]
-    y = F.col(label).cast("bigint")
-    counts = (long_values(df, features, carry=[label]).join(F.broadcast(spec), "name")
+def woe_table(counts: DataFrame, spec: DataFrame) -> DataFrame:
+    """(name, kind, bin, n_good, n_bad, woe, iv) from value_counts: ln(%good/%bad) with counts floored at 0.5."""
+    counts = (counts.join(F.broadcast(spec), "name")  # a row for each feature
               .groupBy("name", "kind", _bin(F.col("value"), F.col("kind"), F.col("edges")).alias("bin"))
-              .agg(F.sum(1 - y).alias("n_good"), F.sum(y).alias("n_bad")))
+              .agg(F.sum("n_good").alias("n_good"), F.sum("n_bad").alias("n_bad")))
     per = W.partitionBy("name")  # one feature's bins: a dozen rows
     good, bad = F.sum("n_good").over(per), F.sum("n_bad").over(per)
     t = counts.withColumns({
@@ -115,10 +120,11 @@ def fit_woe(df: DataFrame, label: str = "is_bad", features: Sequence[str] = K.WO
         from .conform import medians
         fills = {r.name: r["median"] for r in medians(df, features).collect()}
         df = df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(float(v))) for f, v in fills.items()})
-    spec_rows = bin_spec(df, features).collect()
+    counts = value_counts(df, features, label)
+    spec_rows = bin_spec(counts).collect()
     spec = df.sparkSession.createDataFrame([(r["name"], r["kind"], r["edges"]) for r in spec_rows],
                                            "name string, kind string, edges array<double>")
-    rows = woe_table(df, spec, label, features).collect()
+    rows = woe_table(counts, spec).collect()
     iv: dict = {}
     table: dict = {}
     for r in rows:

@@ -150,3 +150,17 @@ def test_leaky_and_required_columns(spark):
 def test_features_with_everything_missing(spark):
     df = spark.createDataFrame([tuple([None] * 13), tuple([300.0] + [None] * 12), tuple([850.0] + [None] * 12)], ", ".join(f"{k} double" for k in K.BUREAU_COLUMNS))
     assert [r.fico_band for r in bureau_features(df).collect()] == [5.0, 1.0, 9.0]
+
+
+def test_payments_of_one_hot_loan(spark):
+    """A loan with all the rows: streaks and trends over many days; the islands are dealt out by more than the loan."""
+    from creditloom.operators.payments import payment_features
+    rows = [(1, d, d, float(100 + d), 1 if 300 <= d < 345 or d % 40 == 0 else 0, "CUSTOMER") for d in range(600)]
+    df = spark.createDataFrame(rows, "loan_id long, day_no int, payment_no int, amount double, is_returned int, payment_type string")
+    f = payment_features(df)
+    r = f.first()
+    # day 320 is inside the run of 45, and no other returned day touches it
+    assert r.max_consecutive_nsf == 45 and r.n_payments == 600
+    assert abs(r.payment_decline_pct - ((100 + 598) - (100 + 1)) / (100 + 1)) < 1e-9
+    plan = f._jdf.queryExecution().toString()
+    assert "hashpartitioning(loan_id" in plan and "_part" in plan
