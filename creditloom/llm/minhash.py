@@ -6,7 +6,7 @@ confirmed on the full sets.
 
 Documents with equal sets are merged first, so copies never meet each other. Each band bucket then compares its members with one
 pivot (the smallest id); in buckets that still hold several components after that, what is outside the largest component is compared
-with all other members, by signatures in blocks of bounded size, and the likely pairs exactly. A pair at similarity 0.75 shares no band with probability 5e-6.
+with all other members in blocks of bounded size, by signatures and then exactly. A pair at similarity 0.75 shares no band with probability 5e-6.
 
 Edge cases: a null or blank text has no shingles and is linked with nothing; a row without id can be a copy but not a representative, and is never
 kept if its group has an id; repeated rows share one component; an empty table gives an empty result; extra columns are ignored.
@@ -31,9 +31,9 @@ BANDS, ROWS = 32, 4
 #: All minima count for the estimate, which errs by 0.027 (one sigma) at 0.75; pairs 4.5 sigma below the threshold still go on to the exact check.
 MINIMA = 256
 LEAST_ESTIMATE = 0.63
-#: Mixed buckets with at most DIRECT pairs are joined directly, larger ones in blocks of BLOCK by BLOCK members whose signatures are compared inside
+#: Mixed buckets with at most DIRECT pairs are joined directly, larger ones in blocks of BLOCK by BLOCK members that are compared inside
 #: tasks; beyond HUGE pairs the blocks have eight times the members a side, so that members are copied to an eighth of the blocks.
-DIRECT, BLOCK, HUGE = 256, 256, 1 << 30
+DIRECT, BLOCK, HUGE = 256, 512, 1 << 30
 
 _RNG = np.random.default_rng(20_240_229)
 _A = (_RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -162,17 +162,40 @@ def _mixed(members: DataFrame) -> DataFrame:
     return found.where("parts > 1").select("bucket", "largest", "members", others.alias("others"), (F.col("members") * others).alias("pairs"))
 
 
-def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) across components of large mixed buckets: blocks of the others meet blocks of all members, signatures only."""
+def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) across components of large mixed buckets: blocks of the others meet blocks of all members.
+
+    A block compares signatures, then the full sets of likely pairs, and joins what it has linked as it goes: pairs that are linked already need no
+    test, and what leaves a block is a forest over its components, not its pairs."""
     def compare(key, pdf):
         x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         sig = np.frombuffer(b"".join(y["sig"]), np.uint8).reshape(len(y), -1) if len(y) else np.zeros((0, MINIMA), np.uint8)
-        reps, parts, out = y["rep"].to_numpy(), y["component"].to_numpy(), []
-        for rep, component, own in zip(x["rep"], x["component"], x["sig"]):
-            hit = (parts != component) & (_agreement(np.frombuffer(own, np.uint8)[None, :], sig) >= LEAST_ESTIMATE)
-            out.append(np.stack([np.minimum(reps[hit], rep), np.maximum(reps[hit], rep)], axis=1))
-        both = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+        shingler, known, above = Shingler(), {}, {}
+
+        def full(rep, text):
+            if rep not in known:
+                known[rep] = shingler(text)
+            return known[rep]
+
+        def root(part):
+            while above.get(part, part) != part:
+                above[part] = above.get(above[part], above[part])
+                part = above[part]
+            return part
+
+        parts, out = y["component"].to_numpy(), []
+        reps, y_texts = y["rep"].to_numpy(), y["text"].to_list()
+        for rep, component, own, text in zip(x["rep"], x["component"], x["sig"], x["text"]):
+            likely = np.flatnonzero((parts != component) & (_agreement(np.frombuffer(own, np.uint8)[None, :], sig) >= LEAST_ESTIMATE))
+            for j in likely.tolist():
+                if root(component) == root(parts[j]):
+                    continue
+                left, right = full(rep, text), full(reps[j], y_texts[j])
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                if both and 100 * both >= 75 * (len(left) + len(right) - both):
+                    above[root(component)] = root(parts[j])
+                    out.append((min(rep, reps[j]), max(rep, reps[j])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     side = F.when(F.col("pairs") > HUGE, 8 * BLOCK).otherwise(BLOCK)
     parts = mixed.select("bucket", "largest", F.ceil(F.col("others") / side).alias("nx"), F.ceil(F.col("members") / side).alias("ny"))
@@ -181,20 +204,20 @@ def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame) -> DataFra
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     x = rows.where("component <> largest").select("bucket", "rep", "component", F.lit(0).alias("side"), at("nx", 1).alias("xb"), upto("ny").alias("yb"))
     y = rows.select("bucket", "rep", "component", F.lit(1).alias("side"), upto("nx").alias("xb"), at("ny", 2).alias("yb"))
-    signed = x.unionByName(y).join(sets.select("rep", "sig"), "rep")
-    return signed.groupBy("bucket", "xb", "yb").applyInPandas(compare, "a long, b long").distinct()
+    full = sets.select("rep", "sig").join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    return x.unionByName(y).join(full, "rep").groupBy("bucket", "xb", "yb").applyInPandas(compare, "a long, b long").distinct()
 
 
-def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Likely pairs of different components within mixed buckets: what is outside a bucket's largest component meets all its other members."""
+def _across(members: DataFrame, sets: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Likely pairs of small mixed buckets and confirmed links of large ones: what is outside a bucket's largest component meets all its other members."""
     sig = lambda c: sets.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"))
     mixed = stash(_mixed(members), "mixed-buckets")
     x = members.join(mixed.where(F.col("pairs") <= DIRECT).select("bucket", "largest"), "bucket").select("bucket", "largest", "rep", "component")
     y = x.select("bucket", F.col("rep").alias("other"), F.col("component").alias("theirs"))
     pairs = (x.where("component <> largest").join(y, "bucket").where("component <> theirs")
              .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct())
-    direct = _estimated(pairs.join(sig("b"), "b").join(sig("a"), "a")).select("a", "b")
-    return direct.unionByName(_in_blocks(members, mixed.where(F.col("pairs") > DIRECT), sets)).distinct()
+    direct = _estimated(pairs.join(sig("b"), "b").join(sig("a"), "a")).select("a", "b").distinct()
+    return direct, _in_blocks(members, mixed.where(F.col("pairs") > DIRECT), sets, texts)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -232,8 +255,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     labels = comp.withColumnRenamed("node", "rep")
     members = stash(banded.select("rep", "bucket").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "band-components")
-    third = stash(_across(members, sets).join(likely, ["a", "b"], "left_anti"), "pairs-across")
-    more = stash(confirmed(third, texts), "links-third")
+    direct, linked = _across(members, sets, texts)
+    third = stash(direct.join(likely, ["a", "b"], "left_anti"), "pairs-across")
+    more = stash(confirmed(third, texts).unionByName(linked), "links-third")
     if not more.isEmpty():
         comp = stash(components(links.unionByName(more)), "components")
 

@@ -104,15 +104,21 @@ def test_near_duplicates_with_small_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_near(rows)
 
 
-def test_huge_buckets_keep_their_pairs(spark, monkeypatch):
-    """Pairs of a bucket over HUGE are found even where further bands do not cut it."""
+def test_huge_buckets_keep_their_links(spark, monkeypatch):
+    """All components of a bucket over HUGE are joined even where further bands do not cut it, by no more links than a block has members."""
     for name, value in (("DIRECT", 1), ("BLOCK", 2), ("HUGE", 1), ("BANDS", 1)):
         monkeypatch.setattr(minhash, name, value)
     sig = bytearray(range(256))
     sets = spark.createDataFrame([(i, [7], sig) for i in range(40)], "rep long, bands array<long>, sig binary")
     members = spark.createDataFrame([(i, 0 if i < 37 else i, 7) for i in range(40)], "rep long, component long, bucket long")
-    got = [(r.a, r.b) for r in minhash._across(members, sets).collect()]
-    assert sorted(got) == [(a, b) for a, b in combinations(range(40), 2) if b >= 37]
+    texts = spark.createDataFrame([(i, "six words that all rows share" if i != 38 else "not at all like the other rows") for i in range(40)], "doc_id long, text string")
+    direct, linked = minhash._across(members, sets, texts)
+    got = [(r.a, r.b) for r in linked.collect()]
+    part = Groups(range(40))
+    for a, b in [*got, *[(0, i) for i in range(37)]]:
+        part.join(a, b)
+    assert direct.isEmpty() and {part.find(i) for i in range(40) if i != 38} == {part.find(0)} != {part.find(38)}
+    assert all(b in (37, 39) for _, b in got) and len(got) <= 3 * 40
 
 
 def test_near_duplicates_odd_rows(spark, odd, no_documents):
