@@ -6,7 +6,7 @@ scores are computed in turn over the pattern-instance graph, and instances with
 
 Texts stand for themselves: equal texts are scanned and joined by a 96-bit hash of the text, so copies are worked on once.
 
-Edge cases: a null text is an empty one; a null id stays null; repeated rows each get the same answer; an empty table gives an empty
+Edge cases: a null text is an empty one; texts of any length are searched whole; a null id stays null; repeated rows each get the same answer; an empty table gives an empty
 result; ties in a pattern's score need no order, and an instance with two kinds takes the better one, then the first listed; extra columns pass
 through, and names that start with `_pii_` are reserved.
 """
@@ -29,7 +29,6 @@ PATTERNS = {
 TRIGGERS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "candidate": "[0-9@]"}
 WORD = "[^ 0-9@]*+[0-9@][^ ]*+"
 CANDIDATE = f"(?<![^ ]){WORD}(?: {WORD})*+"
-ROUNDS = 4
 MIN_SUPPORT = 4.0
 MIN_CONFIDENCE = 0.8
 MIN_SCORE = 0.9
@@ -97,7 +96,9 @@ def instances(found: DataFrame, base: DataFrame) -> DataFrame:
               .withColumn("next", F.min(F.when(is_base, F.struct("start", "kind"))).over(Window.partitionBy(*KEY).orderBy("start").rangeBetween(0, Window.unboundedFollowing))))
     seed = F.when(F.col("next.start") < F.col("end"), F.col("next.kind"))
     shape = F.regexp_replace(F.regexp_replace("value", "[0-9]+", "9"), r"\p{L}+", "a")
-    return (marked.where(~is_base).select(*KEY, "start", "end", "value", F.left(shape, F.lit(40)).alias("shape"), "before", "after", seed.alias("seed"),
+    # long shapes by a hash of the whole
+    shape = F.when(F.length(shape) > 40, F.concat(F.left(shape, F.lit(24)), F.lit("#"), F.hex(F.xxhash64(shape)))).otherwise(shape)
+    return (marked.where(~is_base).select(*KEY, "start", "end", "value", shape.alias("shape"), "before", "after", seed.alias("seed"),
                                           (seed.isNotNull() | (F.coalesce("reach", F.lit(0)) > F.col("start"))).alias("taken")))
 
 
@@ -117,13 +118,14 @@ def bootstrap(inst: DataFrame) -> DataFrame:
     """(value, kind, score) of instances found by the patterns; seeds are not among them.
 
     A pattern's confidence for a kind is the score of its instances over one more than their number. An instance combines its
-    confident patterns as independent evidence. Rounds go on until no instance is new, at most ROUNDS.
+    confident patterns as independent evidence. Rounds go on until instances, kinds and scores (to four digits) stay as they are;
+    should they ever return to an earlier state instead, that ends them too.
     """
     edges = stash(graph(inst), "pii-graph")
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
     seeds = edges.where("seed is not null").select("value", F.col("seed").alias("kind")).distinct().withColumn("score", F.lit(1.0))
-    known, found, count = seeds, None, 0
-    for _ in range(ROUNDS):
+    known, found, marks = seeds, None, set()
+    while True:
         confident = (edges.join(known, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("support")).join(sizes, "pattern")
                      .withColumn("confidence", F.col("support") / (F.col("n") + 1)).where((F.col("support") >= MIN_SUPPORT) & (F.col("confidence") >= MIN_CONFIDENCE)))
         confident = stash(confident.select("pattern", "kind", "confidence"), "pii-patterns")
@@ -132,11 +134,14 @@ def bootstrap(inst: DataFrame) -> DataFrame:
         order = F.struct("score", *[(F.col("kind") == k).alias(k) for k in KINDS])
         scored = scored.groupBy("value").agg(F.max_by("kind", order).alias("kind"), F.max("score").alias("score"))
         last, found = found, stash(scored, "pii-found")
-        unstash(last)
-        now = found.count()
-        if now == count:
+        for used in (last, confident):
+            unstash(used)
+        mark = tuple(found.agg(F.count("*"), F.sum(F.xxhash64("value", "kind", F.round("score", 4)).cast("decimal(38,0)"))).first())
+        if mark in marks:
             break
-        known, count = seeds.unionByName(found), now
+        marks.add(mark)
+        known = seeds.unionByName(found)
+    unstash(edges)
     return found.where(F.col("score") >= MIN_SCORE)
 
 

@@ -230,3 +230,16 @@ def test_sql_twins(spark, sf, name):
     from creditloom.llm.common import ORACLES, QUERIES
 
     assert not diff(QUERIES[name](spark, sf).toPandas(), oracle_connection(sf).sql(ORACLES[name]).df())
+
+
+def test_pii_bootstrap_follows_long_chains(spark, monkeypatch):
+    """Instances that are linked to the seed only over seven others are found; an unlinked one is not."""
+    for name, value in (("MIN_SUPPORT", 0.01), ("MIN_CONFIDENCE", 0.01), ("MIN_SCORE", 0.01)):
+        monkeypatch.setattr(pii, name, value)
+    names = "alpha beta gamma delta epsilon zeta eta theta iota".split()
+    rows = [(f"v{i}", "email" if i == 0 else None, f"call {names[j]}", names[j], "a9") for i in range(8) for j in (i, i + 1)]
+    rows.append(("v99", None, "call omega", "omega", "a9"))
+    inst = spark.createDataFrame(rows, "value string, seed string, before string, after string, shape string")
+    got = {r.value: (r.kind, r.score) for r in pii.bootstrap(inst).collect()}
+    assert set(got) == {f"v{i}" for i in range(1, 8)} and {k for k, _ in got.values()} == {"email"}
+    assert all(got[f"v{i}"][1] > got[f"v{i + 1}"][1] for i in range(1, 7))
