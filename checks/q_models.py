@@ -22,12 +22,19 @@ from .registry import query
 c = F.col
 
 
+_TIER_OF = {"MISSING_QI_": 1, "INTERACTION_": 1, "Missing QI": 1, "Prior default by connected": 2, "Multiple connected entities": 2, "Cross-entity borrower": 2, "HIGH_PD_GRADE_E_DECLINE": 2,
+            "AUTO_DECLINE_HIGH_PD_REVIEW": 2, "PARTNER_GRADE_E_AUTO_DECLINE": 2, "AUTO_APPROVE_LOW_PD_REVIEW": 6, "Negative bank balance": 3, "High NSFs": 3, "Extended negative balance": 3, "Bureau stress": 3,
+            "PARTNER_B": 3, "High delinquency rate": 4, "High inquiries": 4, "GIACT bankruptcy": 4, "Below-average credit": 4, "High monthly payment": 4, "Elevated revolving": 4, "Zero/minimal tradelines": 4,
+            "Severe delinquencies": 6, "High past due": 6, "Low FICO": 6, "FICO < 550": 6, "FICO 550-600": 6, "Plaid missing": 7, "Prove missing": 7, "All providers missing": 7,
+            "Minimal provider coverage": 7, "Provider disagreement": 7}
+
+
 # --- reasons and the full cascade -----------------------------------------------
 def _reasons_sql() -> str:
     i = lambda e: f"cast(trunc({e}) as bigint)"
     money = lambda e: f"format('${{:,}}', cast(round_even({e},0) as bigint))"
     pct = "format('{:.1f}',pd*100)||'%'"
-    tiers = [*K.REASON_PRIORITY, ("PARTNER_GRADE_E_AUTO_DECLINE", 2), ("PARTNER_B", 3)]
+    tiers = _TIER_OF.items()
     tier = "case " + " ".join(f"when starts_with(v,'{p}') then {t}" for p, t in tiers) + " else 5 end"
     top = lambda e: f"list_transform(list_sort(list_transform({e}, lambda v, n: {{'t': {tier}, 'n': n, 'v': v}}))[1:8], lambda s: s.v)"
     return f"""
@@ -57,7 +64,7 @@ def cascade_scores(spark, sf):
 
 @query("cascade_reasons", sql("""select application_id, array_to_string(case when late is null then r8 else
  list_transform(list_sort(list_transform(list_concat(r8,[late]), lambda v, n: {'t': case """
-       + " ".join(f"when starts_with(v,'{p}') then {t}" for p, t in (*K.REASON_PRIORITY, ("PARTNER_GRADE_E_AUTO_DECLINE", 2), ("PARTNER_B", 3)))
+       + " ".join(f"when starts_with(v,'{p}') then {t}" for p, t in _TIER_OF.items())
        + """ else 5 end, 'n': n, 'v': v}))[1:8], lambda s: s.v) end, '|') as reasons from r3""", "decided", plus=_reasons_sql()))
 def cascade_reasons(spark, sf):
     return _cascade_plan(spark, sf).select("application_id", F.array_join("reasons", "|").alias("reasons"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,11 +15,11 @@ c = F.col
 
 def reason_tier(r: Column, roles: K.PartnerRoles = K.DEFAULT_ROLES) -> Column:
     """Priority tier of one reason by its prefix; unknown prefixes are tier 5."""
-    table = (*K.REASON_PRIORITY, ("PARTNER_GRADE_E_AUTO_DECLINE", 2), (roles.risky, 3))
-    expr = F.lit(5)
-    for prefix, tier in reversed(table):
-        expr = F.when(r.startswith(prefix), tier).otherwise(expr)
-    return expr
+    tiers = {t: list(p) for t, p in K.REASON_TIERS.items()}
+    tiers[2].append("PARTNER_GRADE_E_AUTO_DECLINE")
+    tiers[3].append(roles.risky)
+    in_tier = lambda prefixes: reduce(lambda a, b: a | b, [r.startswith(p) for p in prefixes])
+    return reduce(lambda expr, t: F.when(in_tier(tiers[t]), t).otherwise(expr), sorted(tiers, reverse=True), F.lit(5))
 
 
 def top_reasons(reasons: Column, roles: K.PartnerRoles = K.DEFAULT_ROLES, n: int = K.MAX_REASONS) -> Column:
