@@ -166,7 +166,8 @@ def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame, texts: Dat
     """Confirmed links (a, b) across components of large mixed buckets: blocks of the others meet blocks of all members.
 
     A block compares signatures, then the full sets of likely pairs, and joins what it has linked as it goes: pairs that are linked already need no
-    test, and what leaves a block is a forest over its components, not its pairs."""
+    test, and what leaves a block is a forest over its components, not its pairs. A pair that shares several buckets is tested in the first of them
+    only: every bucket that holds two components is gone through, here or directly."""
     def compare(key, pdf):
         x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         sig = np.frombuffer(b"".join(y["sig"]), np.uint8).reshape(len(y), -1) if len(y) else np.zeros((0, MINIMA), np.uint8)
@@ -185,8 +186,10 @@ def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame, texts: Dat
 
         parts, out = y["component"].to_numpy(), []
         reps, y_texts = y["rep"].to_numpy(), y["text"].to_list()
-        for rep, component, own, text in zip(x["rep"], x["component"], x["sig"], x["text"]):
+        y_bands = np.stack(y["bands"].to_list()) if len(y) else np.zeros((0, 1), np.int64)
+        for rep, component, own, text, bands in zip(x["rep"], x["component"], x["sig"], x["text"], x["bands"]):
             likely = np.flatnonzero((parts != component) & (_agreement(np.frombuffer(own, np.uint8)[None, :], sig) >= LEAST_ESTIMATE))
+            likely = likely[bands[(y_bands[likely] == bands).argmax(axis=1)] == key[0]] if len(likely) else likely
             for j in likely.tolist():
                 if root(component) == root(parts[j]):
                     continue
@@ -204,7 +207,7 @@ def _in_blocks(members: DataFrame, mixed: DataFrame, sets: DataFrame, texts: Dat
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     x = rows.where("component <> largest").select("bucket", "rep", "component", F.lit(0).alias("side"), at("nx", 1).alias("xb"), upto("ny").alias("yb"))
     y = rows.select("bucket", "rep", "component", F.lit(1).alias("side"), upto("nx").alias("xb"), at("ny", 2).alias("yb"))
-    full = sets.select("rep", "sig").join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    full = sets.select("rep", "sig", "bands").join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
     return x.unionByName(y).join(full, "rep").groupBy("bucket", "xb", "yb").applyInPandas(compare, "a long, b long").distinct()
 
 
