@@ -9,16 +9,48 @@ from pyspark.sql import Window as W
 from .. import constants as K
 from ..functions.binning import lerp
 from ..functions.clean import display, flag, lookup
-from .prefix import running_sums
+from .prefix import running_sums, split_hot
 
 
 def payment_features(payments: DataFrame, order: tuple = ("day_no", "payment_no"), key: str = "loan_id") -> DataFrame:
     """Features of the monitor from raw payments (key, order.., day_no, amount, is_returned 0/1, payment_type).
 
-    ``amount`` must be constant within one full ``order`` key. A loan may hold any share
-    of the rows: streaks are islands of a sliced running count, the 30-day cluster
-    is a window over loan-days, first/last payments come from running counts.
+    ``amount`` must be constant within one full ``order`` key. The payments are shuffled once, by loan, and read in
+    order there. A loan may hold any share of the rows: those with more than HOT_ROWS payments are cut into slices.
     """
+    few, many = split_hot(payments, key)
+    out = _in_order(few, order, key)
+    return out if many is None else out.unionByName(_in_slices(many, order, key))
+
+
+def _in_order(payments: DataFrame, order: tuple, key: str) -> DataFrame:
+    """The features by windows over each loan's payments."""
+    rows = payments.select(
+        key, *dict.fromkeys((*order, "day_no")), "amount", F.col("is_returned").cast("bigint").alias("r"),
+        (F.col("payment_type") == "CUSTOMER").cast("bigint").alias("c"), (F.col("payment_type") == "RECOVERY").cast("bigint").alias("rec"))
+    so_far = W.partitionBy(key).orderBy(*order, "amount", "r").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumns({"_ret": F.sum("r").over(so_far), "_cust": F.sum("c").over(so_far)})
+    rows = rows.withColumn("_run", F.col("_ret") - F.coalesce(F.max(F.when(F.col("r") == 0, F.col("_ret"))).over(so_far), F.lit(0)))
+    rows = rows.withColumn("_n30", F.sum("r").over(W.partitionBy(key).orderBy("day_no").rangeBetween(-29, 0)))
+    rows = rows.withColumn("_all", F.sum("c").over(W.partitionBy(key)))
+    r, cust, amount = F.col("r"), F.col("c") == 1, F.col("amount")
+    out = rows.groupBy(key).agg(
+        F.count("*").alias("n_payments"), F.sum(r).cast("double").alias("nsf_count"), F.avg(r).alias("nsf_rate"),
+        F.max((r == 1) & (F.col("day_no") <= 90)).cast("double").alias("nsf_in_first_90d"),
+        F.max("rec").cast("double").alias("has_recovery"), F.avg(F.when(F.col("rec") == 1, r)).alias("recovery_nsf_rate"),
+        F.sum("c").alias("cust_payments"),
+        F.try_divide(F.stddev_samp(F.when(cust, amount)), F.avg(F.when(cust, amount))).alias("payment_cv"),
+        F.max(F.when(r == 1, F.col("_n30"))).cast("double").alias("nsf_cluster_max"),
+        F.max("_run").cast("double").alias("max_consecutive_nsf"),
+        (F.sum(F.when(cust & (F.col("_cust") <= 3), amount)) / 3).alias("f3"),
+        (F.sum(F.when(cust & (F.col("_cust") > F.col("_all") - 3), amount)) / 3).alias("l3"))
+    decline = F.when(F.col("cust_payments") >= 6, F.try_divide(F.col("l3") - F.col("f3"), F.col("f3"))).alias("payment_decline_pct")
+    return out.select(*[n for n in out.columns if n not in ("f3", "l3")], decline).fillna(0.0, ["nsf_cluster_max", "max_consecutive_nsf"])
+
+
+def _in_slices(payments: DataFrame, order: tuple, key: str) -> DataFrame:
+    """The features of loans too large for one task: streaks are islands of a sliced running count, the 30-day cluster
+    is a window over loan-days, first/last payments come from running counts."""
     days_key = "day_no"
     ret = F.col("is_returned").cast("bigint")
     cust = (F.col("payment_type") == "CUSTOMER").cast("bigint")

@@ -164,3 +164,15 @@ def test_payments_of_one_hot_loan(spark):
     assert abs(r.payment_decline_pct - ((100 + 598) - (100 + 1)) / (100 + 1)) < 1e-9
     plan = f._jdf.queryExecution().toString()
     assert "hashpartitioning(loan_id" in plan and "_part" in plan
+
+
+def test_payments_are_shuffled_once(spark):
+    """Loans of few payments need one shuffle, and large ones among them the same figures as alone."""
+    from creditloom.operators.payments import payment_features
+    rows = [(k, d, d, float(100 + d), 1 if d % 7 < 2 else 0, "CUSTOMER" if d % 5 else "RECOVERY") for k, n in ((1, 600), (2, 40), (3, 5)) for d in range(n)]
+    df = spark.createDataFrame(rows, "loan_id long, day_no int, payment_no int, amount double, is_returned int, payment_type string")
+    small = payment_features(df.where("loan_id > 1"))
+    assert small._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    both = {r.loan_id: r for r in payment_features(df).collect()}
+    assert set(both) == {1, 2, 3} and all(both[r.loan_id] == r for r in small.collect())
+    assert both[1] == payment_features(df.where("loan_id = 1")).first()
