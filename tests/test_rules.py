@@ -176,3 +176,18 @@ def test_payments_are_shuffled_once(spark):
     both = {r.loan_id: r for r in payment_features(df).collect()}
     assert set(both) == {1, 2, 3} and all(both[r.loan_id] == r for r in small.collect())
     assert both[1] == payment_features(df.where("loan_id = 1")).first()
+
+
+def test_history_of_large_identities_is_the_same(spark):
+    """An identity above the limit goes by slices; the figures of both ways agree."""
+    from creditloom.operators.entity import prior_history
+    rows = [(i, i % 7, k, f"20{i % 20:02}-01-{1 + i % 28:02}", "DEFAULT" if i % 3 else "PAID") for k, n in ((1, 300), (2, 700)) for i in range(n)]
+    df = spark.createDataFrame(rows, "loan_id long, shop_id long, ident_key long, d string, loan_state string").selectExpr("*", "to_date(d) as signing_date")
+    got = {(r.ident_key, r.loan_id): r for r in prior_history(df).collect()}
+    assert len(got) == 1000
+    for k in (1, 2):
+        loans = [r for (i, _), r in got.items() if i == k]
+        for r in loans[::37]:
+            before = [x for x in loans if x.signing_date < r.signing_date]
+            assert (r.prior_loans_ssn, r.prior_bad_ssn, r.prior_paid_ssn, r.prior_shops_ssn) == (
+                len(before), sum(x.loan_state == "DEFAULT" for x in before), sum(x.loan_state == "PAID" for x in before), len({x.shop_id for x in before}))
