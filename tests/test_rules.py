@@ -166,6 +166,12 @@ def test_payments_of_one_hot_loan(spark):
     assert "hashpartitioning(loan_id" in plan and "_part" in plan
 
 
+def test_money_that_rounds_to_zero_has_no_sign(spark):
+    from creditloom.functions.clean import money
+    df = spark.createDataFrame([(-0.29,), (-0.5,), (-1234.5,), (2.5,), (1234567.5,)], "v double")
+    assert [r[0] for r in df.select(money(df.v)).collect()] == ["$0", "$0", "$-1,234", "$2", "$1,234,568"]
+
+
 def test_payments_are_shuffled_once(spark):
     """Loans of few payments need one shuffle, and large ones among them the same figures as alone."""
     from creditloom.operators.payments import payment_features
