@@ -409,8 +409,15 @@ q2 as (select *, row_number() over (order by tord, composite_risk_score desc, ap
 tot as (select (select count(*) from q2) as n, (select sum(is_bad) from q2) as qb, (select sum(is_bad) from decided) as pb)"""
 
 
+_QUEUE = ("application_id", "decision", "is_bad", "grade", "pd", "fraud_score", "fraud_normalized", "fraud_decision", "qi", "fico", "partner")
+
+
 def _queue(spark, sf, reasons=False):
-    return review.prioritise(fr.scored_table(spark, sf), with_reasons=reasons)
+    return review.prioritise(fr.scored_table(spark, sf).select(*_QUEUE), with_reasons=reasons)
+
+
+def _unranked(spark, sf):
+    return review.queued(fr.scored_table(spark, sf), with_reasons=False)
 
 
 @query("review_priority", sql("select application_id, review_tier, composite_risk_score, estimated_review_time, review_priority from q2", "decided", plus=_RQ))
@@ -441,12 +448,12 @@ def review_reasons(spark, sf):
 @query("review_tiers", sql("""select v.tord as tier_order, v.review_tier, coalesce(n,0) as n, coalesce(bads,0) as bads, round(coalesce(n,0)*100e0/(select n from tot),1) as pct, round(coalesce(bads*100e0/n,0),1) as bad_rate, round(coalesce(p,0),4) as avg_pd, round(coalesce(f,0),1) as avg_fraud_score, coalesce(m,0) as minutes, round(coalesce(m,0)/60e0,1) as hours
  from (values (0,'urgent'),(1,'high'),(2,'medium'),(3,'low')) v(tord,review_tier) left join (select review_tier, count(*) as n, cast(sum(is_bad) as bigint) as bads, avg(pd) as p, avg(fraud_score) as f, cast(sum(estimated_review_time) as bigint) as m from q2 group by 1) t on t.review_tier=v.review_tier""", "decided", plus=_RQ))
 def review_tiers(spark, sf):
-    return review.tier_breakdown(_queue(spark, sf))
+    return review.tier_breakdown(_unranked(spark, sf))
 
 
 @query("review_grades", sql("select grade, count(*) as n, cast(sum(is_bad) as bigint) as bads, round(avg(is_bad)*100,1) as bad_rate from q2 group by grade", "decided", plus=_RQ))
 def review_grades(spark, sf):
-    return review.grade_breakdown(_queue(spark, sf))
+    return review.grade_breakdown(_unranked(spark, sf))
 
 
 @query("capture_curve", sql("""select review_pct, loans_reviewed, defaults_captured, round(defaults_captured*100e0/qb,1) as capture_pct_of_review_bads, round(defaults_captured*100e0/pb,1) as capture_pct_of_all_bads from (
@@ -469,7 +476,7 @@ tp3 as (select *, case when (select sum(r) from tp2)=0 and tord=(select min(tord
 
 @query("tier_plan", sql("select tier, loans, defaults, bad_rate, days_needed, cumulative_loans, cumulative_defaults, cumulative_days, round(cumulative_defaults*100e0/qb,1) as cumulative_capture_of_review_bads, round(cumulative_defaults*100e0/pb,1) as cumulative_capture_of_all_bads, recommended from tp3, tot", "decided", plus=_RQ + ",\n" + _TP))
 def tier_plan(spark, sf):
-    return review.tier_plan(_queue(spark, sf), fr.scored_table(spark, sf))
+    return review.tier_plan(_unranked(spark, sf), fr.scored_table(spark, sf))
 
 
 @query("capacity_plan", sql("""select t as recommended_tiers, l as loans_to_review, d as expected_defaults_caught, n as total_in_queue, cast(ceil(l/20e0) as bigint) as days_to_clear_queue, cast(ceil(n/20e0) as bigint) as days_to_clear_full_queue,

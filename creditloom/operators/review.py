@@ -73,20 +73,25 @@ def review_reasons(df: DataFrame, roles: K.PartnerRoles = K.DEFAULT_ROLES, out:
 TIER_ORDER = {t: i for i, t in enumerate(K.REVIEW_TIERS)}
 
 
-def prioritise(scored: DataFrame, id_col: str = "application_id", weights: dict = K.REVIEW_WEIGHTS,
-               with_reasons: bool = True) -> DataFrame:
-    """Review rows ranked by (tier, -score, id): review_priority is 1 for the riskiest."""
+def queued(scored: DataFrame, weights: dict = K.REVIEW_WEIGHTS, with_reasons: bool = True) -> DataFrame:
+    """Review rows with tier, composite score and minutes, in no order."""
     q = composite_score(review_tier(in_review(scored)), weights)
     if with_reasons:
         q = review_reasons(q)
+    return q.withColumn("estimated_review_time", lookup(c("review_tier"), K.REVIEW_MINUTES, 15))
+
+
+def prioritise(scored: DataFrame, id_col: str = "application_id", weights: dict = K.REVIEW_WEIGHTS,
+               with_reasons: bool = True) -> DataFrame:
+    """Review rows ranked by (tier, -score, id): review_priority is 1 for the riskiest. The queue is written once: slices, totals and ranks read it."""
+    q = queued(scored, weights, with_reasons)
     numeric = dict(q.dtypes)[id_col] in ("bigint", "int")
     q = q.withColumns({
-        "estimated_review_time": lookup(c("review_tier"), K.REVIEW_MINUTES, 15),
         # scores lie in [0, 1.x]: two units per tier keep the tiers apart
         "_key": lookup(c("review_tier"), TIER_ORDER, 9) * 4.0 - c("composite_risk_score"),
         "_tie": c(id_col).cast("bigint") if numeric else F.xxhash64(id_col),
     })
-    return ranked(q, "_key", "_tie", "review_priority").drop("_key", "_tie")
+    return ranked(cut_lineage(q), "_key", "_tie", "review_priority").drop("_key", "_tie")
 
 
 def tier_breakdown(queue: DataFrame) -> DataFrame:
@@ -113,7 +118,8 @@ def grade_breakdown(queue: DataFrame) -> DataFrame:
 
 def _cutoffs(queue: DataFrame, scored: DataFrame, cuts: Column) -> DataFrame:
     """Bads among the first N of the queue for each N of a short array."""
-    # ranks are turned into the index of the first cutoff that covers them, then counted
+    # ranks are turned into the index of the first cutoff that covers them, then counted; the ranked queue is written once for its readers
+    queue = cut_lineage(queue.select("is_bad", "review_priority"))
     totals = queue.agg(F.count("*").alias("n_queue"), F.sum(c("is_bad").cast("bigint")).alias("queue_bads"))
     portfolio = scored.agg(F.sum(c("is_bad").cast("bigint"))).scalar()
     points = totals.select("n_queue", "queue_bads", portfolio.alias("portfolio_bads"), F.explode(cuts).alias("cut"))
