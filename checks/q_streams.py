@@ -145,9 +145,10 @@ def live_metrics(spark, sf):
     root = scratch_path(spark, "live")
     apps = fr.scope(spark, sf)
     for i in range(3):
-        apps.where(c("application_id") % 3 == i).coalesce(1).write.parquet(f"{root}/in/f{i}")
-    schema = spark.read.parquet(f"{root}/in/f0").schema
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        apps.where(c("application_id") % 3 == i).write.parquet(f"{root}/in/f{i}")
+    written = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/in")
+    third = -(-len(written.inputFiles()) // 3)  # as many files as Spark wrote: no task holds a whole batch
+    stream = spark.readStream.schema(written.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", third).parquet(f"{root}/in")
     tables = incremental.LiveTables(f"{root}/scored", f"{root}/log")
     entity = cut_lineage(fr.history(spark, sf))  # a written side table: each batch reads it
     q = incremental.start(stream, tables, six_rules, f"{root}/ckpt", entity=entity, every=None)
