@@ -31,16 +31,21 @@ def zoneless(us):
 
 
 def replay(df: DataFrame, time: str, file_no, n: int, root: str, last: DataFrame | None = None) -> DataFrame:
-    """df as a stream of n files that are read one after another; at the end come the rows `last` and one far in the future, which closes everything."""
+    """df as a stream of n groups of files that are read one after another; at the end come the rows `last` and one far in the future, which closes everything.
+
+    A group is as many files as df has partitions, so no task writes or reads a group whole; empty files fill it up, for a trigger takes that many."""
     spark = df.sparkSession
     parts = df.withColumn("_no", file_no)
-    for i in range(n):
-        parts.where(c("_no") == i).drop("_no").coalesce(1).write.parquet(f"{root}/in/{i:03}")
     far = df.agg(F.max(time).alias("_t")).select(*[(c("_t") + F.make_dt_interval(days=F.lit(FLUSH_DAYS))).alias(time) if f.name == time else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
-    ends = [x for x in (far, last) if x is not None]
-    for i, x in enumerate(ends):
-        x.coalesce(1).write.parquet(f"{root}/in/{n + i:03}")
-    return spark.readStream.schema(df.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    size = parts.rdd.getNumPartitions()
+    groups = [parts.where(c("_no") == i).drop("_no") for i in range(n)] + [x.coalesce(size) for x in (far, last) if x is not None]
+    none = spark.createDataFrame([], df.schema)
+    for i, group in enumerate(groups):
+        folder = f"{root}/in/{i:03}"
+        group.write.parquet(folder)
+        for _ in range(size - len(spark.read.schema(df.schema).parquet(folder).inputFiles())):
+            none.write.mode("append").parquet(folder)
+    return spark.readStream.schema(df.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", size).parquet(f"{root}/in")
 
 
 def drain(out: DataFrame, root: str) -> tuple[DataFrame, list]:

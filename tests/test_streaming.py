@@ -125,3 +125,18 @@ def test_breakers_count_late_rows_and_free_their_state(spark, tmp_path):
     assert {(r.window_start.timestamp() // d - day): r.value for r in breakers_of_totals(totals, with_late=True).where("metric = 'decline_rate'").collect()}[0] == round(2 / 6, 4)
     states = [o.numRowsTotal for p in progress for o in p.stateOperators]
     assert max(states) <= 12 and states[-1] <= 4
+
+
+def test_activity_is_kept_by_shard_and_read_by_many_tasks(spark, tmp_path):
+    from checks.q_streams import drain, replay
+    from creditloom.streaming.stateful import account_activity
+    events = spark.range(0, 240, 1, 3).select((F.col("id") % 40 + 2**53).alias("account"), F.timestamp_seconds(F.lit(_START) + F.floor(F.col("id") / 80) * 86400 + F.col("id")).alias("date"),
+                                              F.col("id").alias("event_id"), F.lit(1).alias("returned"), F.lit(0.5).alias("amount"))
+    day = F.floor((F.unix_seconds("date") - _START) / 86400).cast("int")
+    stream = replay(events, "date", day, 4, str(tmp_path / "r"))  # the fourth group has no rows
+    assert {len(list(p.glob("*.parquet"))) for p in (tmp_path / "r" / "in").iterdir()} == {3}
+    out, progress = drain(account_activity(stream, gap_days=1.5, idle_days=3, shards=2), str(tmp_path / "r"))
+    got = {(r.account, r.kind, r.n, r.amount) for r in out.where("account is not null").collect()}
+    assert got == {(2**53 + i, kind, 6, amount) for i in range(40) for kind, amount in (("streak", 0.0), ("session", 3.0))}
+    kept = [o.numRowsTotal for p in progress for o in p.stateOperators if o.operatorName.startswith("transformWithState")]
+    assert kept and max(kept) <= 2 * 3
