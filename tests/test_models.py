@@ -202,3 +202,19 @@ def test_concordance_brute_force(spark, sample):
 
 def test_logit_model_fills():
     assert LogitModel(0.0, {"a": 1.0}, {"a": 2.0}).fills["a"] == 2.0
+
+
+def test_boosted_bins_follow_from_the_counts_of_values(spark):
+    from creditloom.operators import boosting, conform, prefix, woe
+    from pyspark.sql import functions as F
+    df = spark.range(2000).select(F.when(F.col("id") % 7 != 0, F.col("id") * 37 % 101).cast("double").alias("fico"), (F.col("id") * 13 % 1999 / 7).alias("d30"), (F.col("id") % 3 == 0).cast("int").alias("is_bad"))
+    counts = woe.value_counts(df, ["fico", "d30"])
+    m = models.fit_boosted(df, features=["fico", "d30"], rounds=2, counts=counts)
+    fills = {r["name"]: r["median"] for r in conform.medians(df, ["fico", "d30"]).collect()}
+    assert m.fills == fills and m.trees == boosting.fit(df, ["fico", "d30"], fills, rounds=2).trees
+    # values that cover no wanted position are dropped before positions are compared with them
+    q = prefix.quantiles(df, ["fico", "d30"], [0.0, 0.1, 1 / 3, 0.5, 1.0])
+    assert "_places" in q._jdf.queryExecution().analyzed().toString()
+    pdf = df.toPandas()
+    for r in q.collect():
+        assert max(abs(a - b) for a, b in zip(r["q"], pdf[r["name"]].quantile([0.0, 0.1, 1 / 3, 0.5, 1.0]))) < 1e-9
