@@ -30,3 +30,8 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_grade_boundaries_round_as_in_sql(spark, sf, duck):
+    got = entry.queries()["grade_schemes"](spark, sf).toPandas()
+    assert diff(got, duck.execute(entry.oracle_sql()["grade_schemes"]).df()) == ""
