@@ -459,13 +459,13 @@ def review_grades(spark, sf):
 @query("capture_curve", sql("""select review_pct, loans_reviewed, defaults_captured, round(defaults_captured*100e0/qb,1) as capture_pct_of_review_bads, round(defaults_captured*100e0/pb,1) as capture_pct_of_all_bads from (
  select p as review_pct, cast(floor(n*p/100) as bigint) as loans_reviewed, (select count(*) from q2 where is_bad=1 and review_priority<=floor(n*p/100)) as defaults_captured, qb, pb from tot, (select cast(unnest(range(10,101,10)) as integer) as p) g) t""", "decided", plus=_RQ))
 def capture_curve(spark, sf):
-    return review.capture_curve(_queue(spark, sf), fr.scored_table(spark, sf))
+    return review.capture_curve(_unranked(spark, sf), fr.scored_table(spark, sf))
 
 
 @query("review_cutoffs", sql("""select k as top_n, round(k*100e0/n,1) as pct_of_queue, b as bads_caught, round(b*100e0/qb,1) as capture_rate_review, round(b*100e0/pb,1) as capture_rate_all, round(b*100e0/k,1) as precision, round((k-b)*100e0/k,1) as false_positive_rate, cast(ceil(k/20e0) as bigint) as days_at_capacity from (
  select k, (select count(*) from q2 where is_bad=1 and review_priority<=k) as b, n, qb, pb from tot, (select distinct least(unnest([10,25,50,100,200,500,1000,2000,3000,1000000000]), (select n from tot)) as k) g) t""", "decided", plus=_RQ))
 def review_cutoffs(spark, sf):
-    return review.cutoff_table(_queue(spark, sf), fr.scored_table(spark, sf))
+    return review.cutoff_table(_unranked(spark, sf), fr.scored_table(spark, sf))
 
 
 _TP = """tp0 as (select review_tier as tier, tord, count(*) as loans, cast(sum(is_bad) as bigint) as defaults, round(avg(is_bad)*100,1) as bad_rate, cast(ceil(count(*)/20e0) as bigint) as days_needed from q2 group by 1,2),

@@ -10,7 +10,7 @@ from .. import constants as K
 from ..functions.clean import fill, lookup, percent, upper_text, whole
 from ..session import cut_lineage
 from .labels import in_review
-from .prefix import ranked
+from .prefix import ranked, running_sums
 
 c = F.col
 
@@ -85,13 +85,17 @@ def prioritise(scored: DataFrame, id_col: str = "application_id", weights: dict
                with_reasons: bool = True) -> DataFrame:
     """Review rows ranked by (tier, -score, id): review_priority is 1 for the riskiest. The queue is written once: slices, totals and ranks read it."""
     q = queued(scored, weights, with_reasons)
-    numeric = dict(q.dtypes)[id_col] in ("bigint", "int")
-    q = q.withColumns({
+    return ranked(cut_lineage(_in_order(q, id_col)), "_key", "_tie", "review_priority").drop("_key", "_tie")
+
+
+def _in_order(queue: DataFrame, id_col: str) -> DataFrame:
+    """The queue with its place as (_key, _tie)."""
+    numeric = dict(queue.dtypes)[id_col] in ("bigint", "int")
+    return queue.withColumns({
         # scores lie in [0, 1.x]: two units per tier keep the tiers apart
         "_key": lookup(c("review_tier"), TIER_ORDER, 9) * 4.0 - c("composite_risk_score"),
         "_tie": c(id_col).cast("bigint") if numeric else F.xxhash64(id_col),
     })
-    return ranked(cut_lineage(q), "_key", "_tie", "review_priority").drop("_key", "_tie")
 
 
 def tier_breakdown(queue: DataFrame) -> DataFrame:
@@ -116,31 +120,34 @@ def grade_breakdown(queue: DataFrame) -> DataFrame:
         F.round(F.avg(c("is_bad").cast("double")) * 100, 1).alias("bad_rate"))
 
 
-def _cutoffs(queue: DataFrame, scored: DataFrame, cuts: Column) -> DataFrame:
-    """Bads among the first N of the queue for each N of a short array."""
-    # ranks are turned into the index of the first cutoff that covers them, then counted; the ranked queue is written once for its readers
-    queue = cut_lineage(queue.select("is_bad", "review_priority"))
-    totals = queue.agg(F.count("*").alias("n_queue"), F.sum(c("is_bad").cast("bigint")).alias("queue_bads"))
+def _cutoffs(queue: DataFrame, scored: DataFrame, cuts: Column, id_col: str) -> DataFrame:
+    """Bads among the first N of the queue for each N of a short array. The queue need not be ranked: loans are counted by key, and only keys that a
+    cutoff divides are read in order."""
+    rows = _in_order(queue, id_col).select("_key", "_tie", F.lit(1).cast("bigint").alias("n"), F.coalesce(c("is_bad") == 1, F.lit(False)).cast("bigint").alias("bads"))
+    by_key = cut_lineage(rows.groupBy("_key").agg(F.sum("n").alias("n"), F.sum("bads").alias("bads")))
+    totals = by_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_queue"), F.sum("bads").alias("queue_bads"))
     portfolio = scored.agg(F.sum(c("is_bad").cast("bigint"))).scalar()
     points = totals.select("n_queue", "queue_bads", portfolio.alias("portfolio_bads"), F.explode(cuts).alias("cut"))
     points = points.withColumn("top_n", c("cut.top_n"))
-    bad_ranks = queue.where("is_bad = 1").select("review_priority")
     ns = points.agg(F.sort_array(F.collect_set("top_n"))).scalar()  # a dozen numbers
-    first = bad_ranks.withColumn("_ns", ns).select(
-        F.get(F.filter("_ns", lambda n: n >= c("review_priority")), F.lit(0)).alias("top_n"))
-    hits = first.where(c("top_n").isNotNull()).groupBy("top_n").agg(F.count("*").alias("hits"))
-    grid = points.join(F.broadcast(hits), "top_n", "left").fillna(0, ["hits"])
-    run = W.orderBy("top_n")  # a dozen rows
-    per_n = grid.groupBy("top_n", "n_queue", "queue_bads", "portfolio_bads").agg(F.max("hits").alias("hits"))
-    per_n = per_n.withColumn("bads_caught", F.sum("hits").over(run)).drop("hits")
-    return points.select("top_n", "cut").join(F.broadcast(per_n), "top_n")
-
-
-def capture_curve(queue: DataFrame, scored: DataFrame) -> DataFrame:
+    keys = running_sums(by_key, ["_key"], ["n", "bads"], merge=False).withColumn("_ns", ns)
+    keys = keys.withColumn("_ns", F.filter("_ns", lambda k: (k > c("n_before")) & (k <= c("n_before") + c("n")))).where(F.size("_ns") > 0)
+    keys = cut_lineage(keys)  # at most a row for each cutoff
+    whole_keys = keys.select(F.explode("_ns").alias("top_n"), "n", "n_before", (c("bads_before") + c("bads")).alias("bads_caught")).where(c("top_n") == c("n_before") + c("n"))
+    parted = keys.select("_key", c("n_before").alias("_n"), c("bads_before").alias("_bads"), F.filter("_ns", lambda k: k < c("n_before") + c("n")).alias("_ns")).where(F.size("_ns") > 0)
+    inside = cut_lineage(rows.join(F.broadcast(parted), "_key"))
+    inside = running_sums(inside.select("_key", "_tie", "n", "bads"), ["_tie"], ["n", "bads"], keys=["_key"], merge=False).join(F.broadcast(parted), "_key")
+    at = inside.where(F.array_contains("_ns", c("_n") + c("n_before") + 1)).select(
+        (c("_n") + c("n_before") + 1).alias("top_n"), (c("_bads") + c("bads_before") + c("bads")).alias("bads_caught"))
+    caught = whole_keys.select("top_n", "bads_caught").unionByName(at)
+    return points.join(F.broadcast(caught), "top_n", "left").fillna(0, ["bads_caught"])
+
+
+def capture_curve(queue: DataFrame, scored: DataFrame, id_col: str = "application_id") -> DataFrame:
     """Share of bads found when reviewing 10%..100% of the queue."""
     cuts = F.transform(F.sequence(F.lit(10), F.lit(100), F.lit(10)), lambda p: F.struct(
         p.alias("review_pct"), F.floor(c("n_queue") * p / 100).alias("top_n")))
-    t = _cutoffs(queue, scored, cuts)
+    t = _cutoffs(queue, scored, cuts, id_col)
     return t.select(
         c("cut.review_pct").alias("review_pct"), c("top_n").alias("loans_reviewed"),
         c("bads_caught").alias("defaults_captured"),
@@ -148,11 +155,11 @@ def capture_curve(queue: DataFrame, scored: DataFrame) -> DataFrame:
         F.round(F.coalesce(F.try_divide(c("bads_caught") * 100.0, c("portfolio_bads")), F.lit(0.0)), 1).alias("capture_pct_of_all_bads"))
 
 
-def cutoff_table(queue: DataFrame, scored: DataFrame, daily_reviews: int = 20) -> DataFrame:
+def cutoff_table(queue: DataFrame, scored: DataFrame, daily_reviews: int = 20, id_col: str = "application_id") -> DataFrame:
     """Efficiency of reviewing the top N, N in a fixed list and the whole queue, without repeats."""
     fixed = F.array(*[F.lit(n).cast("bigint") for n in K.REVIEW_CUTOFFS])
     ns = F.array_distinct(F.concat(F.transform(fixed, lambda n: F.least(n, c("n_queue"))), F.array("n_queue")))
-    t = _cutoffs(queue, scored, F.transform(ns, lambda n: F.struct(n.alias("top_n"))))
+    t = _cutoffs(queue, scored, F.transform(ns, lambda n: F.struct(n.alias("top_n"))), id_col)
     share = lambda a, b: F.round(F.coalesce(F.try_divide(a * 100.0, b), F.lit(0.0)), 1)
     return t.select(
         "top_n", share(c("top_n"), c("n_queue")).alias("pct_of_queue"), "bads_caught",
