@@ -29,10 +29,11 @@ def _in_order(payments: DataFrame, order: tuple, key: str) -> DataFrame:
         key, *dict.fromkeys((*order, "day_no")), "amount", F.col("is_returned").cast("bigint").alias("r"),
         (F.col("payment_type") == "CUSTOMER").cast("bigint").alias("c"), (F.col("payment_type") == "RECOVERY").cast("bigint").alias("rec"))
     so_far = W.partitionBy(key).orderBy(*order, "amount", "r").rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumns({"_ret": F.sum("r").over(so_far), "_cust": F.sum("c").over(so_far)})
+    # the total in the order of the running sums, so that one pass over the loan gives all three
+    total = so_far.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    rows = rows.withColumns({"_ret": F.sum("r").over(so_far), "_cust": F.sum("c").over(so_far), "_all": F.sum("c").over(total)})
     rows = rows.withColumn("_run", F.col("_ret") - F.coalesce(F.max(F.when(F.col("r") == 0, F.col("_ret"))).over(so_far), F.lit(0)))
     rows = rows.withColumn("_n30", F.sum("r").over(W.partitionBy(key).orderBy("day_no").rangeBetween(-29, 0)))
-    rows = rows.withColumn("_all", F.sum("c").over(W.partitionBy(key)))
     r, cust, amount = F.col("r"), F.col("c") == 1, F.col("amount")
     out = rows.groupBy(key).agg(
         F.count("*").alias("n_payments"), F.sum(r).cast("double").alias("nsf_count"), F.avg(r).alias("nsf_rate"),

@@ -5,7 +5,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from checks import frames as fr
-from creditloom.operators import review, survival
+from creditloom.functions.clean import half_up
+from creditloom.operators import metrics, payments, review, survival
+from creditloom.session import compiled
+from creditloom.sources import fixtures as fx
 
 
 def test_scored_table_leaves_model_inputs_out(spark, sf):
@@ -46,3 +49,46 @@ def test_cox_fit_computes_its_rows_once(spark):
     assert seen.value == n
     survival.fit_hazard_tiers(m, train)
     assert seen.value == 2 * n
+
+
+def test_half_up_is_round(spark):
+    rng = np.random.default_rng(5)
+    odd = [None, float("nan"), float("inf"), -float("inf"), 0.0, -0.0, 0.5, -0.5, 2.5, -2.5, 0.49999999999999994, 4503599627370497.5, 1e300, 0.0000005, 0.1234565, 1.005, 2.675]
+    values = odd + rng.uniform(-1, 1, 5000).tolist() + rng.uniform(-1e12, 1e12, 5000).tolist() + (rng.integers(0, 10**9, 5000) / 2).tolist() + rng.uniform(0, 1, 5000).round(7).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 2, 4, 6):
+        assert df.where(~F.round("v", digits).eqNullSafe(half_up(F.col("v"), digits))).isEmpty()
+
+
+def test_scores_alone_write_no_features(spark, sf):
+    other = f"{sf}/"  # the same tables under a path that no test has read from
+    t = fr.scored_table(spark, other)
+    assert (spark.sparkContext.applicationId, other, "features") not in fr._TABLES
+    fr.feature_table(spark, sf)
+    written = fr.scored(spark, sf).select(*fr.SCORED)  # from the written features
+    assert t.exceptAll(written).isEmpty() and written.exceptAll(t).isEmpty()
+
+
+def test_payment_table_leaves_texts_out(spark, sf):
+    assert fr.payment_table(spark, sf).columns == list(fr.PAID)
+
+
+def test_payments_are_summed_in_their_order(spark, sf):
+    """Three passes over a loan's payments, then sums without a table of the loans."""
+    with compiled(spark):
+        plan = payments.payment_features(fx.payments(spark, sf), fx.PAYMENT_ORDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 3 and plan.count("SortAggregate") == 1 and "HashAggregate" not in plan
+
+
+def test_ranking_reads_its_rows_once(spark):
+    rng = np.random.default_rng(6)
+    n = 500
+    df = spark.createDataFrame(pd.DataFrame({"s": rng.integers(0, 50, n).astype(float), "is_bad": rng.integers(0, 2, n)}))
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(v):
+        seen.add(1)
+        return v
+
+    metrics.ranking(df.withColumn("s", F.udf(look, "double")("s")), ["s"]).collect()
+    assert seen.value == n
