@@ -12,7 +12,7 @@ from creditloom.streaming import incremental, stateful
 
 from . import frames as fr
 from .base_sql import sql
-from .q_models import six_rules
+from .q_models import arrivals, six_rules
 from .q_rules import _SIX
 from .registry import query
 
@@ -151,12 +151,9 @@ def live_metrics(spark, sf):
     apps = fr.scope(spark, sf)
     for i in range(3):
         apps.where(c("application_id") % 3 == i).write.parquet(f"{root}/in/f{i}")
-    written = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/in")
-    third = -(-len(written.inputFiles()) // 3)  # as many files as Spark wrote: no task holds a whole batch
-    stream = spark.readStream.schema(written.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", third).parquet(f"{root}/in")
     tables = incremental.LiveTables(f"{root}/scored", f"{root}/log")
     entity = cut_lineage(fr.history(spark, sf))  # a written side table: each batch reads it
-    q = incremental.start(stream, tables, six_rules, f"{root}/ckpt", entity=entity, every=None)
+    q = incremental.start(arrivals(spark, f"{root}/in", 3), tables, six_rules, f"{root}/ckpt", entity=entity, every=None)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

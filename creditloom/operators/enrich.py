@@ -81,8 +81,10 @@ def assemble_loans(loans: DataFrame, offers: DataFrame, reports: DataFrame, risk
 
 
 def not_scored(df: DataFrame, scored: DataFrame, key: str = "application_id") -> DataFrame:
-    """Applications without a score yet. Ids stay on the cluster."""
-    return df.join(scored.select(key), key, "left_anti")
+    """Applications without a score yet. Ids stay on the cluster.
+
+    They grow with the portfolio and take far more memory than the files they are read from, by which a broadcast would be chosen: they are shuffled at every size."""
+    return df.join(scored.select(key).hint("merge"), key, "left_anti")
 
 
 def compare_production(df: DataFrame, ours: Column, production: Column) -> DataFrame:

@@ -38,10 +38,14 @@ class AppendLog:
         return fs.exists(p)
 
     def stage(self, df: DataFrame, table: str, txn, partition_by: str | None = None) -> str:
-        """Write df for a transaction below the folder `table`; nobody reads it until commit()."""
+        """Write df for a transaction below the folder `table`; nobody reads it until commit().
+
+        Rows of a partition value come together first, in tasks of about equal size: readers list every file on the driver, and there would be one for each task and value."""
         folder = f"{table}/batch_id={txn}/attempt={uuid.uuid4().hex}"
-        w = df.write
-        (w.partitionBy(partition_by) if partition_by else w).parquet(folder)
+        if partition_by:
+            df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(folder)
+        else:
+            df.write.parquet(folder)
         return folder
 
     def commit(self, txn, folders: dict[str, str]) -> bool:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.enrich import attach_entity, not_scored
 from ..operators.metrics import confusion, decile_lift, expected_calibration_error, label_agreement, ranking
 from ..operators.summary import run_log
 from ..sources.appendlog import AppendLog
@@ -61,7 +62,7 @@ def only_new(batch: DataFrame, scored: DataFrame | None, batch_id: int, key: str
     batch = latest(batch, key)
     if scored is None:
         return batch
-    return batch.join(scored.where(F.col("batch_id") != batch_id).select(key), key, "left_anti")
+    return not_scored(batch, scored.where(F.col("batch_id") != batch_id), key)
 
 
 def batch_metrics(batch: DataFrame, min_rows: int = MIN_METRIC_ROWS) -> DataFrame:
@@ -90,7 +91,6 @@ def score_batch(batch: DataFrame, batch_id: int, tables: LiveTables, score: Call
                 entity: DataFrame | None = None, version: str = "six-rules") -> None:
     """One micro-batch: anti join, score, stage, log, commit. Safe to run twice for the same batch id."""
     spark = batch.sparkSession
-    from ..operators.enrich import attach_entity
     sink = tables.commits(spark)
     if sink.has(batch_id):
         return

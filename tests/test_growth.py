@@ -9,6 +9,8 @@ from creditloom.functions.clean import half_up
 from creditloom.operators import metrics, payments, review, survival
 from creditloom.session import compiled
 from creditloom.sources import fixtures as fx
+from creditloom.sources.appendlog import AppendLog
+from creditloom.streaming import incremental
 
 
 def test_scored_table_leaves_model_inputs_out(spark, sf):
@@ -92,3 +94,43 @@ def test_ranking_reads_its_rows_once(spark):
 
     metrics.ranking(df.withColumn("s", F.udf(look, "double")("s")), ["s"]).collect()
     assert seen.value == n
+
+
+def test_ids_of_scored_applications_are_not_broadcast(spark, tmp_path):
+    spark.range(100).select(F.col("id").alias("application_id"), F.lit(0).alias("batch_id")).write.parquet(str(tmp_path / "s"))
+    batch = spark.range(50, 150).select(F.col("id").alias("application_id"), F.lit("2024-01-01").cast("date").alias("signing_date"))
+    new = incremental.only_new(batch, spark.read.parquet(str(tmp_path / "s")), 1)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(r.application_id for r in new.collect()) == list(range(100, 150))
+
+
+def test_staged_rows_of_a_month_are_one_file(spark, tmp_path):
+    """Not one for each task that holds some of them: every reader lists the files on the driver."""
+    rows = spark.range(0, 1000, 1, 8).withColumn("month", F.col("id") % 10)
+    path = AppendLog(spark, str(tmp_path / "log")).stage(rows, str(tmp_path / "t"), 0, "month")
+    got = spark.read.parquet(path)
+    assert len(got.inputFiles()) == 10
+    assert got.exceptAll(rows.withColumn("month", F.col("month").cast("int"))).isEmpty() and got.count() == 1000
+
+
+def test_an_arrival_is_one_batch_however_many_files(spark, sf, monkeypatch):
+    from __spark_entry__ import queries
+    seen = []
+
+    def note(batch, i, tables, score, entity):
+        seen.append(batch.select(F.input_file_name()).distinct().count())
+        sink = tables.commits(batch.sparkSession)
+        sink.commit(i, {"scored": sink.stage(batch.select("application_id", *[F.lit(0).alias(k) for k in ("pd", "grade", "decision", "fraud_decision")]), tables.scored, i)})
+
+    monkeypatch.setattr(incremental, "score_batch", note)
+    many = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        queries()["incremental_scoring"](spark, sf)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(seen) == 3 and sum(seen) > 24
