@@ -50,11 +50,13 @@ def _month(col: str = "signing_date"):
 
 
 def latest(batch: DataFrame, key: str = "application_id") -> DataFrame:
-    """One row per application: the one signed last; among those, the first by a hash of all its columns, then by the columns."""
-    whole = F.struct(*[F.col(k).cast("string").alias(k) for k in sorted(batch.columns)])
-    order = F.struct(F.coalesce(F.col("signing_date").cast("timestamp"), F.lit("0001-01-01").cast("timestamp")), F.xxhash64(whole), whole)
-    one = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), order).alias("_row"))
-    return one.select("_row.*")
+    """One row per application: the one signed last; among those, the first by a hash of all its columns, then by the columns.
+
+    The row is shuffled once, as the last part of what orders it."""
+    texts = F.struct(*[F.col(k).cast("string").alias(k) for k in sorted(batch.columns)])
+    signed = F.coalesce(F.col("signing_date").cast("timestamp"), F.lit("0001-01-01").cast("timestamp"))
+    last = F.max(F.struct(signed, F.xxhash64(texts), F.struct(*batch.columns).alias("row")))
+    return batch.groupBy(key).agg(last.alias("_last")).select("_last.row.*")
 
 
 def only_new(batch: DataFrame, scored: DataFrame | None, batch_id: int, key: str = "application_id") -> DataFrame:

@@ -134,3 +134,18 @@ def test_an_arrival_is_one_batch_however_many_files(spark, sf, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert len(seen) == 3 and sum(seen) > 24
+
+
+def test_latest_row_is_shuffled_once(spark):
+    rng = np.random.default_rng(7)
+    n = 600
+    rows = spark.createDataFrame(pd.DataFrame({"application_id": rng.integers(0, 60, n), "day": rng.integers(0, 4, n), "fico": rng.integers(400, 900, n).astype(float), "qi": rng.choice(["HFHT", "LFLT"], n)}))
+    rows = rows.select("application_id", "fico", "qi", F.when(F.col("day") > 0, F.date_add(F.lit("2024-01-01").cast("date"), F.col("day").cast("int"))).alias("signing_date"))
+    one = incremental.latest(rows)
+    plan = one._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("max") == 1 and "max_by" not in plan.toString()
+    texts = F.struct(*[F.col(k).cast("string").alias(k) for k in sorted(rows.columns)])
+    order = F.struct(F.coalesce(F.col("signing_date").cast("timestamp"), F.lit("0001-01-01").cast("timestamp")), F.xxhash64(texts), texts)
+    want = rows.groupBy("application_id").agg(F.max_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
+    assert one.columns == rows.columns and one.count() == 60
+    assert one.exceptAll(want).isEmpty() and want.exceptAll(one).isEmpty()
